@@ -1,0 +1,20 @@
+"""Owner dimension derived from the vehicles at hand."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from fleetlens.functions import owner_name
+
+
+def owner_dimension(vehicles: DataFrame, stolen: Column | None = None) -> DataFrame:
+    """One owner row per distinct ``vehicle_id``.
+
+    The name is the fixed lookup of :func:`owner_name`.  The stolen flag is a property of the vehicle,
+    so it never flips between two lookups; by default one vehicle in twenty is stolen.
+    """
+    flag = F.pmod(F.xxhash64("vehicle_id"), F.lit(20)) == 0 if stolen is None else stolen
+    return (
+        vehicles.select("vehicle_id").distinct()
+        .select("vehicle_id", owner_name("vehicle_id").alias("owner_name"), flag.alias("reported_stolen"))
+    )

@@ -1,11 +1,11 @@
 """Column expressions shared by the operators; all of them run inside the JVM."""
 
 from fleetlens.functions.expressions import (
-    FIRST_NAMES, LAST_NAMES, fahrenheit, interval_micros, is_complaint, micros, owner_name, tokens,
+    FIRST_NAMES, LAST_NAMES, fahrenheit, floor_div, interval_micros, is_complaint, micros, owner_name, tokens,
     vehicle_of, whole,
 )
 
 __all__ = [
-    "FIRST_NAMES", "LAST_NAMES", "fahrenheit", "interval_micros", "is_complaint", "micros", "owner_name",
+    "FIRST_NAMES", "LAST_NAMES", "fahrenheit", "floor_div", "interval_micros", "is_complaint", "micros", "owner_name",
     "tokens", "vehicle_of", "whole",
 ]

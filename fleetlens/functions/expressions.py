@@ -34,6 +34,11 @@ def whole(dividend: Column, divisor: int) -> Column:
     return F.call_function("div", dividend, F.lit(divisor).cast("long"))
 
 
+def floor_div(dividend: Column, divisor: int) -> Column:
+    """Integer division of longs rounded down, also before 1970."""
+    return whole(dividend - F.pmod(dividend, F.lit(divisor)), divisor)
+
+
 def interval_micros(text: str) -> int:
     """Microseconds of a fixed-length interval such as ``"200 milliseconds"`` or ``"1 hour"``."""
     amount, unit = text.split()

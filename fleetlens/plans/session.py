@@ -61,6 +61,6 @@ def settle(df: DataFrame) -> DataFrame:
         return df
     spark = df.sparkSession
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()

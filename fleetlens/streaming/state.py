@@ -1,0 +1,12 @@
+"""Reading the keyed state of a stopped or running query from its checkpoint, as a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def read_keyed_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """State variable ``variable`` (``complaints`` or ``alerts``): one row per vehicle, as of the last batch."""
+    state = spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    flat = state.select(F.col("key.vehicle_id").alias("vehicle_id"), "value.*")
+    return flat.withColumn("ts", F.timestamp_micros("us")).drop("us")

@@ -1,2 +1,220 @@
-STREAM_QUERIES = {}
-STREAM_SQL = {}
+"""The stream forms of the analyses, replayed over the shared test tables.
+
+Each query drains the input into a table below the shared checkpoint folder and returns that table.  In
+append mode only windows that the watermark has passed are there, and the SQL twins say so.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fleetlens import operators as ops
+from fleetlens import streaming
+from fleetlens.catalog import sql
+from fleetlens.catalog.queries import HOT, PAIR_REACH, PAIR_WINDOW, VEHICLE, Query, coarse, finish
+from fleetlens.plans.session import settings, shared_dir
+from fleetlens.sources import shared_tables as tables, with_event_time, with_processing_time
+
+STREAM_QUERIES: dict[str, Query] = {}
+STREAM_SQL: dict[str, str] = {}
+
+StreamQuery = Callable[[SparkSession, str, str, str], DataFrame]
+
+
+def stream_query(twin: str) -> Callable[[StreamQuery], StreamQuery]:
+    """Register ``fn(session, folder, table path, checkpoint path)``, which drains and reads back."""
+
+    def register(fn: StreamQuery) -> StreamQuery:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            place = f"{shared_dir(spark)}/fleetlens/{fn.__name__}-{uuid.uuid4().hex}"
+            session = spark.newSession()
+            for key, value in {**settings(), "spark.sql.shuffle.partitions":
+                               spark.conf.get("spark.sql.shuffle.partitions")}.items():
+                session.conf.set(key, value)
+            return finish(fn(session, folder, f"{place}/table", f"{place}/checkpoint"))
+
+        run.__name__ = fn.__name__
+        STREAM_QUERIES[fn.__name__] = run
+        STREAM_SQL[fn.__name__] = twin
+        return fn
+
+    return register
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.events(spark, folder, stream=True)
+
+
+def _timed(spark: SparkSession, folder: str) -> DataFrame:
+    return with_event_time(_events(spark, folder))
+
+
+# What the watermark has passed after the last record: 3.5 s before it, in whole milliseconds.
+_PASSED = "(SELECT make_timestamp((epoch_us(max(ts)) // 1000 - 3500) * 1000) FROM events)"
+
+
+def _closed(twin: str, end: str = "window_end") -> str:
+    return f"SELECT * FROM ({twin}) WHERE {end} <= {_PASSED}"
+
+
+@stream_query(sql.SQL["heat_alerts"])
+def stream_heat_alerts(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    alerts = ops.heat_alerts(tables.as_measurements(_events(spark, folder)), threshold=150.0)
+    streaming.write_append(alerts, path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+@stream_query(sql.SQL["word_count"])
+def stream_word_count(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    schema = tables.table(spark, folder, "documents").schema
+    lines = spark.readStream.schema(schema).parquet(f"{folder}/documents*.parquet")
+    streaming.write_updates(ops.running_word_count(lines, "text"), path, checkpoint, drain=True)
+    return streaming.read_current(spark, path, ["word"])
+
+
+@stream_query(sql.SQL["latest_observation"])
+def stream_latest_observation(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    latest = ops.latest_observation(tables.as_measurements(_events(spark, folder)))
+    streaming.write_updates(latest, path, checkpoint, drain=True)
+    return streaming.read_current(spark, path, ["sensor_id"])
+
+
+@stream_query(sql.SQL["max_reading_first"])
+def stream_max_reading_first(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    readings = tables.as_tied(tables.as_measurements(_events(spark, folder)))
+    streaming.write_updates(ops.max_reading(readings, tie="first"), path, checkpoint, drain=True)
+    return streaming.read_current(spark, path, ["sensor_id"])
+
+
+@stream_query(
+    f"SELECT user_id AS sensor_id, max(ts) AS ts, {sql._coarse('avg(value)')} AS mean FROM events GROUP BY user_id")
+def stream_running_mean(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    means = ops.running_mean(tables.as_measurements(_events(spark, folder)))
+    streaming.write_updates(means, path, checkpoint, drain=True)
+    return streaming.read_current(spark, path, ["sensor_id"]).withColumns(coarse("mean"))
+
+
+@stream_query(_closed(sql.SQL["sliding_mean"]))
+def stream_sliding_mean(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    means = ops.sliding_mean(tables.as_measurements(_timed(spark, folder)), "2 days", "1 day")
+    streaming.write_append(means, path, checkpoint, drain=True)
+    return spark.read.parquet(path).withColumns(coarse("mean"))
+
+
+@stream_query(
+    f"SELECT sensor_id, ts, mean FROM ({STREAM_SQL['stream_running_mean']}) CROSS JOIN range(2)")
+def stream_sliding_mean_processing_time(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """One micro-batch has one processing time, so every sensor is in two overlapping windows."""
+    clocked = with_processing_time(tables.as_measurements(_events(spark, folder)))
+    means = ops.sliding_mean(clocked, "10 seconds", "5 seconds", time="pt")
+    streaming.write_updates(means, path, checkpoint, drain=True)
+    current = streaming.read_current(spark, path, ["sensor_id", "window_start", "window_end"])
+    return current.select("sensor_id", "ts", "mean").withColumns(coarse("mean"))
+
+
+@stream_query(_closed(sql.SQL["sensor_deviation"], "ts"))
+def stream_sensor_deviation(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    raw = _events(spark, folder)
+    tagged = with_event_time(ops.tag_readings(tables.primary(raw), tables.secondary(raw)))
+    streaming.write_append(ops.sensor_deviation(tagged, "3 days"), path, checkpoint, drain=True)
+    return spark.read.parquet(path).withColumns(coarse("value"))
+
+
+@stream_query(_closed(sql.SQL["valve_performance"]))
+def stream_valve_performance(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    raw = _events(spark, folder)
+    stacked = with_event_time(ops.stack_observations(tables.primary(raw), tables.valve_states(raw)))
+    streaming.write_append(ops.valve_performance(stacked, "5 days"), path, checkpoint, drain=True)
+    return spark.read.parquet(path).withColumns(
+        coarse("pct_open", "pct_closed", "pct_obstructed", "mean_temperature"))
+
+
+@stream_query(_closed(sql.SQL["edit_bytes_per_user"]))
+def stream_edit_bytes_per_user(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    edits = tables.as_edits(_timed(spark, folder))
+    streaming.write_append(ops.edit_bytes_per_user(edits, "1 day"), path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+def _pairs(spark: SparkSession, folder: str) -> DataFrame:
+    raw = _events(spark, folder)
+    return ops.state_at_reading(
+        with_event_time(tables.primary(raw)), with_event_time(tables.valve_states(raw)), PAIR_WINDOW, PAIR_REACH)
+
+
+@stream_query(sql.SQL["state_at_reading"])
+def stream_state_at_reading(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    streaming.write_append(_pairs(spark, folder), path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+@stream_query(sql.SQL["state_alerts"])
+def stream_state_alerts(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """Both side outputs, each in its own table."""
+    tagged = ops.tag_alerts(_pairs(spark, folder), HOT, 80.0)
+    streaming.write_routed(tagged, ops.route_alerts, path, checkpoint, drain=True)
+    routed = [spark.read.parquet(f"{path}/{name}").drop("batch_id") for name in ("temperature", "obstructed")]
+    return routed[0].unionByName(routed[1])
+
+
+@stream_query(sql.SQL["stolen_vehicles"])
+def stream_stolen_vehicles(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    raw = _events(spark, folder)
+    activity = ops.vehicle_activity(tables.primary(raw), tables.valve_states(raw), VEHICLE)
+    enriched = ops.with_owner(activity, tables.owners(spark, folder))
+    streaming.write_append(ops.stolen_vehicles(enriched), path, checkpoint, drain=True)
+    return spark.read.parquet(path).select("vehicle_id", "ts", "owner.*")
+
+
+@stream_query(sql._valves(f"SELECT * FROM ({sql._OBSERVED}) WHERE ts <= {_PASSED}", 60, 5))
+def stream_dangerous_valves(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    observed = tables.as_observed(_timed(spark, folder))
+    alerts = streaming.dangerous_valves_stream(observed, heat_above=HOT)
+    streaming.write_append(alerts, path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+def _reports_and_alerts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    raw = _events(spark, folder)
+    return tables.as_reports(raw), ops.heat_alerts(tables.as_measurements(raw), threshold=100.0)
+
+
+@stream_query(sql.SQL["potential_causes"])
+def stream_potential_causes(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    causes = streaming.potential_causes_stream(*_reports_and_alerts(spark, folder), "2 days", VEHICLE)
+    streaming.write_append(causes, path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+@stream_query(sql.SQL["potential_causes_sql"])
+def stream_potential_causes_sql(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    reports, alerts = _reports_and_alerts(spark, folder)
+    ops.publish_reports(reports)
+    ops.publish_alerts(alerts)
+    streaming.write_append(ops.potential_causes_sql(spark, "1 day", VEHICLE), path, checkpoint, drain=True)
+    return spark.read.parquet(path)
+
+
+@stream_query(sql.SQL["latest_per_vehicle"])
+def stream_latest_per_vehicle(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    latest = ops.latest_per_vehicle(*_reports_and_alerts(spark, folder), VEHICLE)
+    streaming.append_latest(latest, path, checkpoint, drain=True)
+    return streaming.read_latest(spark, path).select(
+        "vehicle_id", F.col("complaint.ts").alias("report_ts"),
+        F.col("complaint.customer_name").alias("customer_name"), F.col("complaint.value").alias("report_value"),
+        F.col("alert.ts").alias("alert_ts"), F.col("alert.sensor_id").alias("sensor_id"),
+        F.col("alert.units").alias("units"), F.col("alert.value").alias("alert_value"),
+        F.col("alert.level").alias("level"))
+
+
+@stream_query("""
+SELECT vehicle_id, alert_ts AS ts, sensor_id, units, alert_value, level
+FROM (%s) WHERE alert_ts IS NOT NULL""" % sql.SQL["latest_per_vehicle"])
+def stream_alert_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """The last alert of each vehicle, read from the state of the complaint matching query."""
+    causes = streaming.potential_causes_stream(*_reports_and_alerts(spark, folder), "2 days", VEHICLE)
+    streaming.write_append(causes, path, checkpoint, drain=True)
+    return streaming.read_keyed_state(spark, checkpoint, "alerts")

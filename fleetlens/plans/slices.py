@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 from fleetlens.functions import micros
 
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 4_096
+MAX_SLICES = 16_384
 _SUB = 1 << 16  # room for the sub-slices of one instant
 
 

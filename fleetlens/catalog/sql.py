@@ -62,7 +62,7 @@ def _changelog(source: str, first: str, second: str) -> str:
 WITH readings AS ({source}),
 marked AS (
     SELECT *, arg_max(seq, struct_pack(a := {first}, b := {second})) OVER (
-        PARTITION BY sensor_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS best_seq
+        PARTITION BY sensor_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS best_seq
     FROM readings)
 SELECT m.seq AS at_seq, r.ts, r.sensor_id, r.units, r.value, r.seq
 FROM marked m JOIN readings r ON r.sensor_id = m.sensor_id AND r.seq = m.best_seq
@@ -76,7 +76,7 @@ SQL["latest_changelog"] = _changelog(_READING, "ts", "-seq")
 
 
 def _running(partition: str, extra: str = "") -> str:
-    over = f"OVER ({partition} ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)"
+    over = f"OVER ({partition} ORDER BY seq ROWS UNBOUNDED PRECEDING)"
     return f"""
 SELECT seq, sensor_id, last_ts AS ts, {_coarse('total / n')} AS mean
 FROM (SELECT *, max(ts) {over} AS last_ts, sum(value) {over} AS total, count(*) {over} AS n

@@ -47,11 +47,12 @@ def dangerous_valves(
     expect(observed, OBSERVED_STATE)
     rows = observed.select(
         "sensor_id", "ts", "seq",
-        F.col("state").isin(*normal).alias("_normal"), F.col("state").isin(*closure).alias("_closed"),
+        # one column for both state sets: the two readers of the sliced rows then share one shuffle
+        (F.col("state").isin(*normal).cast("int") + 2 * F.col("state").isin(*closure).cast("int")).alias("_sets"),
         F.when((F.col("value") > heat_above) & ~F.isnan("value"),
                F.struct(F.col("ts").alias("ts"), F.col("value").alias("value"))).alias("_hot"),
     )
-    ends_run = ~F.col("_closed")
+    ends_run = F.col("_sets") < 2
     heat = "struct<ts:timestamp,value:double>"
     scanned = ordered_scan(
         rows, ["sensor_id"], ("ts", "seq"), backwards=True,
@@ -85,7 +86,7 @@ def dangerous_valves(
         F.col("_later_end"),
     )
     found = (
-        scanned.where("_normal").select("sensor_id", "seq", (F.col("_pos") + later).alias("_pos"), end.alias("_end"))
+        scanned.where(F.col("_sets") % 2 == 1).select("sensor_id", "seq", (F.col("_pos") + later).alias("_pos"), end.alias("_end"))
         .select("sensor_id", "seq", (F.col("_pos") - F.col("_end.pos") - 1).alias("times"),
                 F.col("_end.pos").alias("_run"), F.col("_end.heat.ts").alias("ts"),
                 F.col("_end.heat.value").alias("value"))

@@ -2,7 +2,7 @@
 
 ``latest_observation`` and ``max_reading`` give the final value (on a stream: ``update`` mode, one row
 per changed sensor and micro-batch).  ``reading_changelog`` and ``running_mean`` give one row per input
-record and are for tables; they scan in time order with :func:`fleetlens.plans.ordered_scan`.
+record and are for tables; they scan in order of arrival with :func:`fleetlens.plans.ordered_scan`.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def reading_changelog(
     best = _ranked(rule)
     kind = measurements.select(best.alias("best")).schema["best"].dataType.simpleString()
     scanned = ordered_scan(
-        measurements, ["sensor_id"], ("ts", "seq"),
+        measurements, ["sensor_id"], ["seq"],
         local=lambda w: [{"_run": F.max(best).over(w.rowsBetween(*_UPTO))}],
         totals={"_top": F.max(best)},
         inherit=lambda w: [{"_prior": F.max("_top").over(w.rowsBetween(*_BEFORE))}],
@@ -101,7 +101,7 @@ def running_mean(
 
     source = measurements.select("ts", "sensor_id", "value", "seq")
     scanned = ordered_scan(
-        source, [] if compat else ["sensor_id"], ("ts", "seq"),
+        source, [] if compat else ["sensor_id"], ["seq"],
         local=lambda w: [{
             "_sum": F.sum("value").over(w.rowsBetween(*_UPTO)),
             "_n": F.count("value").over(w.rowsBetween(*_UPTO)),

@@ -13,15 +13,15 @@ slice, however the keys are distributed:
 4. a join by (key, slice) hands the inherited values back to the rows.  Rows are already partitioned by
    (key, slice) from step 1, so they are not shuffled again.
 
-Slice limits are constants found once from quantiles of the event time; an instant so busy that it
-would fill slices on its own is cut further by ``seq``.  They only steer balance: any limits give the
+Slice limits are constants found once from quantiles of the first ordering column; an instant so busy
+that it would fill slices on its own is cut further by the second one.  They only steer balance: any limits give the
 same result.  A table that fits one slice takes the plain window and pays for nothing else.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
@@ -36,7 +36,8 @@ _SUB = 1 << 16  # room for the sub-slices of one instant
 
 @dataclass(frozen=True)
 class Slices:
-    """Constant slice limits: event times in microseconds, and ``seq`` limits inside busy instants."""
+    """Constant limits in the first ordering column (times in microseconds), and limits in the second
+    one inside busy instants."""
 
     times: tuple[int, ...] = ()
     busy: dict[int, tuple[int, ...]] = field(default_factory=dict)
@@ -45,34 +46,46 @@ class Slices:
     def single(self) -> bool:
         return not self.times and not self.busy
 
-    def assign(self, df: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:
-        """Add ``slice``, which grows with ``(ts, seq)``."""
+    @property
+    def limits(self) -> list[int]:
+        """All limits in the first ordering column; a busy instant gets a slice range of its own."""
+        return sorted({*self.times, *self.busy, *(instant + 1 for instant in self.busy)})
+
+    def assign(self, df: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
+        """Add ``slice``, which grows with the ordering columns."""
         if self.single:
             return df.withColumn("slice", F.lit(0).cast("long"))
         cutter = Bucketizer(
-            splits=[float("-inf"), *map(float, self.times), float("inf")],
+            splits=[float("-inf"), *map(float, self.limits), float("inf")],
             inputCol="_us", outputCol="_cut", handleInvalid="error",
         )
-        cut = cutter.transform(df.withColumn("_us", micros(ts).cast("double")))
+        place = _place(df, order[0])
+        cut = cutter.transform(df.withColumn("_us", place.cast("double")))
         part = F.col("_cut").cast("long") * F.lit(_SUB)
         if self.busy:
             limits = F.map_from_arrays(
                 F.array(*[F.lit(t).cast("long") for t in self.busy]),
                 F.array(*[F.array(*[F.lit(s).cast("long") for s in self.busy[t]]) for t in self.busy]),
             )
-            below = F.size(F.filter(F.element_at(limits, micros(ts)), lambda limit: limit <= F.col(seq)))
-            part = part + F.when(micros(ts).isin(*self.busy), below).otherwise(0)
-        return cut.withColumn("slice", part).drop("_us", "_cut")
+            below = F.size(F.filter(F.element_at(limits, place), lambda limit: limit <= F.col(order[-1])))
+            part = part + F.when(place.isin(*self.busy), below).otherwise(0)
+        # never NULL, so that a join on it adds no filter and both its sides can share one shuffle
+        return cut.withColumn("slice", F.coalesce(part, F.lit(0))).drop("_us", "_cut")
+
+
+def _place(df: DataFrame, column: str) -> Column:
+    """An ordering column as a long."""
+    is_time = isinstance(df.schema[column].dataType, T.TimestampType)
+    return micros(column) if is_time else F.col(column).cast("long")
 
 
 def plan_slices(
     df: DataFrame,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_slices: int = MAX_SLICES,
-    ts: str = "ts",
-    seq: str = "seq",
+    order: Sequence[str] = ("ts", "seq"),
 ) -> Slices:
-    """Find slice limits for ``df``: a row count, then (large tables only) quantiles of ``ts``.
+    """Find slice limits for ``df``: a row count, then (large tables only) quantiles.
 
     Reads only the two ordering columns and brings at most ``2 * max_slices`` numbers to the driver.
     """
@@ -80,7 +93,7 @@ def plan_slices(
     n = min(max_slices, -(-total // rows_per_slice))
     if n <= 1:
         return Slices()
-    clock = df.select(micros(ts).cast("double").alias("us"), F.col(seq).cast("long").alias("seq"))
+    clock = df.select(_place(df, order[0]).cast("double").alias("us"), _place(df, order[-1]).alias("seq"))
     chosen = Counter(clock.approxQuantile("us", [k / n for k in range(1, n)], 1.0 / (4 * n)))
     times = sorted(int(t) for t in chosen)
     repeated = {int(t): c for t, c in chosen.items() if c > 1}
@@ -103,7 +116,7 @@ def plan_slices(
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
-    order: tuple[str, str],
+    order: Sequence[str],
     local: Callable[[WindowSpec], list[dict[str, Column]]],
     totals: dict[str, Column],
     inherit: Callable[[WindowSpec], list[dict[str, Column]]],
@@ -118,20 +131,17 @@ def ordered_scan(
     after the other so that a later group may use an earlier one.  ``inherit`` must look at preceding
     rows only (in scan direction); with ``backwards`` the scan runs from the last row to the first.
     """
-    ts, seq = order
     if slices is None:
-        slices = plan_slices(df, rows_per_slice, ts=ts, seq=seq)
+        slices = plan_slices(df, rows_per_slice, order=order)
     turn = F.desc if backwards else F.asc
+    ordering = [turn(column) for column in order]
     carried = T.StructType.fromDDL(inherited)
     if slices.single:
-        rows = _apply(df, local(Window.partitionBy(*keys).orderBy(turn(ts), turn(seq))))
+        rows = _apply(df, local(Window.partitionBy(*keys).orderBy(*ordering)))
         return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in carried.fields})
 
     groups = [*keys, "slice"]
-    rows = _apply(
-        slices.assign(df, ts, seq),
-        local(Window.partitionBy(*groups).orderBy(turn(ts), turn(seq))),
-    )
+    rows = _apply(slices.assign(df, order), local(Window.partitionBy(*groups).orderBy(*ordering)))
     per_slice = rows.groupBy(*groups).agg(*[c.alias(name) for name, c in totals.items()])
     handed = _apply(per_slice, inherit(Window.partitionBy(*keys).orderBy(turn("slice"))))
     return rows.join(handed.select(*groups, *carried.names), groups).drop("slice")

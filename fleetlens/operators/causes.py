@@ -14,7 +14,7 @@ from fleetlens.schemas import CUSTOMER_REPORT, SENSORS_PER_VEHICLE, SENSOR_ALERT
 _UPTO = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE = (Window.unboundedPreceding, -1)
 _ALERT_FIRST = 1 << 62  # arrival numbers stay below; puts alerts behind the reports of the same instant
-REPORT, ALERT = "report", "alert"
+REPORT, ALERT, KNOWN = "report", "alert", "known"
 
 
 def _report() -> Column:
@@ -57,15 +57,25 @@ def potential_causes(
     Both only if strictly closer than ``within``.  Order is ``(ts, report before alert, seq)``.
     """
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
+    return match_stacked(stacked, within, slices, rows_per_slice)
+
+
+def match_stacked(
+    stacked: DataFrame, within: str, slices: Slices | None = None, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """:func:`potential_causes` over an already stacked bag.
+
+    Rows of kind ``known`` carry a report and an alert from before; they start a vehicle off and emit
+    nothing themselves.
+    """
     shapes = {f.name: f.dataType.simpleString() for f in stacked.schema.fields}
-    # The rows are already stacked, so one scan serves both directions.
     scanned = ordered_scan(
         stacked, ["vehicle_id"], ("ts", "seq"),
         local=lambda w: [{
             "_report": F.last("report", ignorenulls=True).over(w.rowsBetween(*_UPTO)),
             "_alert": F.last("alert", ignorenulls=True).over(w.rowsBetween(*_UPTO)),
         }],
-        totals={"_last_report": F.max("report"), "_last_alert": F.max("alert")},
+        totals={"_last_report": last_seen("report"), "_last_alert": last_seen("alert")},
         inherit=lambda w: [{
             "_prior_report": F.last("_last_report", ignorenulls=True).over(w.rowsBetween(*_BEFORE)),
             "_prior_alert": F.last("_last_alert", ignorenulls=True).over(w.rowsBetween(*_BEFORE)),
@@ -73,12 +83,17 @@ def potential_causes(
         inherited=f"_prior_report {shapes['report']}, _prior_alert {shapes['alert']}",
         slices=slices, rows_per_slice=rows_per_slice,
     )
-    pairs = scanned.select(
+    pairs = scanned.where(F.col("kind") != KNOWN).select(
         "vehicle_id", F.coalesce("_report", "_prior_report").alias("report"),
         F.coalesce("_alert", "_prior_alert").alias("alert"))
     return near(pairs, within)
 
 
+def last_seen(kind: str) -> Column:
+    """Aggregate: the last ``report`` or ``alert`` of a stacked bag in its order."""
+    return F.max_by(kind, F.when(F.col(kind).isNotNull(), F.struct("ts", "seq")))
+
+
 def near(pairs: DataFrame, within: str) -> DataFrame:
     """Flatten (report, alert) pairs that are strictly closer than ``within``."""
     gap = F.abs(micros("report.ts") - micros("alert.ts"))
@@ -101,7 +116,8 @@ def latest_per_vehicle(
     :func:`fleetlens.streaming.append_latest`.
     """
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
-    return stacked.groupBy("vehicle_id").agg(F.max("report").alias("complaint"), F.max("alert").alias("alert"))
+    return stacked.groupBy("vehicle_id").agg(
+        last_seen("report").alias("complaint"), last_seen("alert").alias("alert"))
 
 
 def lookup(latest: DataFrame, vehicle_id: int, what: str) -> Row | None:

@@ -26,24 +26,16 @@ _BEFORE = (Window.unboundedPreceding, -1)
 NORMAL, CLOSURE = (OPEN, CLOSE), (CLOSE, OBSTRUCTED)
 
 
-def dangerous_valves(
+def scan_pattern(
     observed: DataFrame,
     normal: tuple[str, ...] = NORMAL,
     closure: tuple[str, ...] = CLOSURE,
-    min_times: int = 5,
     heat_above: float = 500.0,
-    after_match: str = "all",
     slices: Slices | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Level 5 alerts for the pattern above; value and time are those of the heat row.
-
-    ``observed`` holds ``ts, sensor_id, value, state, seq``, e.g. the output of ``state_at_reading``.
-    ``after_match="all"`` gives one alert per start, ``"first"`` the longest one per run.  ``seq`` of an
-    alert is that of its start row.
-    """
-    if after_match not in ("all", "first"):
-        raise ValueError(f"after_match is 'all' or 'first', not {after_match!r}")
+    """For every row: ``pos`` (1 is the last row of its sensor), ``heat`` (nearest hot row from here on),
+    ``end`` (nearest later row outside ``closure``: its ``pos`` and ``heat``), ``normal``, ``closed``."""
     expect(observed, OBSERVED_STATE)
     rows = observed.select(
         "sensor_id", "ts", "seq",
@@ -53,19 +45,19 @@ def dangerous_valves(
                F.struct(F.col("ts").alias("ts"), F.col("value").alias("value"))).alias("_hot"),
     )
     ends_run = F.col("_sets") < 2
+    here = F.struct(F.col("_pos").alias("pos"), F.col("_heat").alias("heat"))
     heat = "struct<ts:timestamp,value:double>"
     scanned = ordered_scan(
         rows, ["sensor_id"], ("ts", "seq"), backwards=True,
         local=lambda w: [
             {"_pos": F.row_number().over(w).cast("long"),
              "_heat": F.last("_hot", ignorenulls=True).over(w.rowsBetween(*_UPTO))},
-            {"_end": F.last(F.when(ends_run, F.struct(F.col("_pos").alias("pos"), F.col("_heat").alias("heat"))),
-                            ignorenulls=True).over(w.rowsBetween(*_BEFORE))},
+            {"_end": F.last(F.when(ends_run, here), ignorenulls=True).over(w.rowsBetween(*_BEFORE))},
         ],
         totals={
             "_rows": F.count(F.lit(1)),
             "_first_heat": F.max_by("_heat", "_pos"),
-            "_first_end": F.max(F.when(ends_run, F.struct(F.col("_pos").alias("pos"), F.col("_heat").alias("heat")))),
+            "_first_end": F.max(F.when(ends_run, here)),
         },
         inherit=lambda w: [
             {"_later": F.sum("_rows").over(w.rowsBetween(*_BEFORE)),
@@ -79,26 +71,57 @@ def dangerous_valves(
         slices=slices, rows_per_slice=rows_per_slice,
     )
     later = F.coalesce("_later", F.lit(0))
-    end = F.coalesce(
-        F.when(F.col("_end").isNotNull(), F.struct(
-            (F.col("_end.pos") + later).alias("pos"),
-            F.coalesce("_end.heat", "_later_heat").alias("heat"))),
-        F.col("_later_end"),
+    in_slice = F.when(F.col("_end").isNotNull(), F.struct(
+        (F.col("_end.pos") + later).alias("pos"), F.coalesce("_end.heat", "_later_heat").alias("heat")))
+    return scanned.select(
+        "sensor_id", "seq", (F.col("_pos") + later).alias("pos"),
+        F.coalesce("_heat", "_later_heat").alias("heat"),
+        F.coalesce(in_slice, F.col("_later_end")).alias("end"),
+        (F.col("_sets") % 2 == 1).alias("normal"), (~ends_run).alias("closed"),
     )
-    found = (
-        scanned.where(F.col("_sets") % 2 == 1).select("sensor_id", "seq", (F.col("_pos") + later).alias("_pos"), end.alias("_end"))
-        .select("sensor_id", "seq", (F.col("_pos") - F.col("_end.pos") - 1).alias("times"),
-                F.col("_end.pos").alias("_run"), F.col("_end.heat.ts").alias("ts"),
-                F.col("_end.heat.value").alias("value"))
-        .where((F.col("times") >= min_times) & F.col("ts").isNotNull())
+
+
+def longest_per_run(found: DataFrame) -> DataFrame:
+    """Of the starts that share a run only the earliest, which has the longest match."""
+    return (
+        found.groupBy("sensor_id", "run", "heat").agg(F.max(F.struct("times", "seq")).alias("_best"))
+        .select("sensor_id", "run", "heat", "_best.times", "_best.seq")
     )
-    if after_match == "first":
-        longest = F.max(F.struct("times", "seq"))
-        found = (
-            found.groupBy("sensor_id", "_run", "ts", "value").agg(longest.alias("_best"))
-            .select("sensor_id", "ts", "value", "_best.times", "_best.seq")
-        )
+
+
+def as_pattern_alerts(found: DataFrame) -> DataFrame:
     return found.select(
-        "ts", "sensor_id", F.concat(F.lit(UNITS_NOT_OPENING), F.col("times").cast("string")).alias("units"),
-        "value", F.lit(LEVEL_PATTERN).alias("level"), "seq",
+        F.col("heat.ts").alias("ts"), "sensor_id",
+        F.concat(F.lit(UNITS_NOT_OPENING), F.col("times").cast("string")).alias("units"),
+        F.col("heat.value").alias("value"), F.lit(LEVEL_PATTERN).alias("level"), "seq",
     )
+
+
+def dangerous_valves(
+    observed: DataFrame,
+    normal: tuple[str, ...] = NORMAL,
+    closure: tuple[str, ...] = CLOSURE,
+    min_times: int = 5,
+    heat_above: float = 500.0,
+    after_match: str = "all",
+    slices: Slices | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Level 5 alerts for the pattern above; value and time are those of the heat row.
+
+    ``observed`` holds ``ts, sensor_id, value, state, seq``, e.g. the output of ``state_at_reading``.
+    ``after_match="all"`` gives one alert per start, ``"first"`` the longest one per run.  ``seq`` of an
+    alert is that of its start row.
+    """
+    check_after_match(after_match)
+    scanned = scan_pattern(observed, normal, closure, heat_above, slices, rows_per_slice)
+    found = scanned.where("normal").select(
+        "sensor_id", "seq", F.col("end.pos").alias("run"), (F.col("pos") - F.col("end.pos") - 1).alias("times"),
+        F.col("end.heat").alias("heat"),
+    ).where((F.col("times") >= min_times) & F.col("heat").isNotNull())
+    return as_pattern_alerts(longest_per_run(found) if after_match == "first" else found)
+
+
+def check_after_match(after_match: str) -> None:
+    if after_match not in ("all", "first"):
+        raise ValueError(f"after_match is 'all' or 'first', not {after_match!r}")

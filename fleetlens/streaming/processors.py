@@ -21,6 +21,8 @@ from fleetlens.schemas import LEVEL_PATTERN, OBSERVED_STATE, SENSORS_PER_VEHICLE
 
 _COMPLAINT_STATE = "us long, customer_name string, report_value string"
 _ALERT_STATE = "us long, sensor_id long, units string, alert_value double, level int"
+_COMPLAINT_NAMES = [part.split()[0] for part in _COMPLAINT_STATE.split(", ")]
+_ALERT_NAMES = [part.split()[0] for part in _ALERT_STATE.split(", ")]
 _CAUSE = (
     "vehicle_id long, report_us long, customer_name string, report_value string, "
     "alert_us long, sensor_id long, units string, alert_value double, level int"
@@ -40,30 +42,30 @@ class CauseProcessor(StatefulProcessor):
         self.alert = handle.getValueState("alerts", _ALERT_STATE, **ttl)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="stable")
-        is_report = (batch["kind"] == REPORT).to_numpy()
-        sides = []
-        for state, mine, names in (
-            (self.complaint, is_report, ["us", "customer_name", "report_value"]),
-            (self.alert, ~is_report, ["us", "sensor_id", "units", "alert_value", "level"]),
-        ):
-            seen = batch.loc[mine, names]
-            known = state.get() if state.exists() else None
-            if known is not None:
-                seen = pd.concat([pd.DataFrame([tuple(known)], columns=names), seen])
-            at = np.cumsum(mine) - 1 + (known is not None)
-            if mine.any():
-                state.update(tuple(_plain(v) for v in seen.iloc[-1]))
-            sides.append((seen, at))
-        (reports, r), (alerts, a) = sides
-        both = (r >= 0) & (a >= 0)
-        if not both.any():
-            return
-        left = reports.iloc[r[both]].rename(columns={"us": "report_us"}).reset_index(drop=True)
-        right = alerts.iloc[a[both]].rename(columns={"us": "alert_us"}).reset_index(drop=True)
-        pairs = pd.concat([left, right], axis=1)
-        pairs.insert(0, "vehicle_id", key[0])
-        yield pairs[(pairs["report_us"] - pairs["alert_us"]).abs() < self.within_us]
+        known = [state.get() if state.exists() else None for state in (self.complaint, self.alert)]
+        news = [False, False]
+        for chunk in rows:  # one Arrow batch of the group at a time
+            chunk = chunk.sort_values(["us", "seq"], kind="stable")
+            is_report = (chunk["kind"] == REPORT).to_numpy()
+            sides = []
+            for i, (mine, names) in enumerate(((is_report, _COMPLAINT_NAMES), (~is_report, _ALERT_NAMES))):
+                seen = chunk.loc[mine, names]
+                if known[i] is not None:
+                    seen = pd.concat([pd.DataFrame([tuple(known[i])], columns=names), seen])
+                sides.append((seen, np.cumsum(mine) - 1 + (known[i] is not None)))
+                if mine.any():
+                    known[i], news[i] = tuple(_plain(v) for v in seen.iloc[-1]), True
+            (reports, r), (alerts, a) = sides
+            both = (r >= 0) & (a >= 0)
+            if both.any():
+                left = reports.iloc[r[both]].rename(columns={"us": "report_us"}).reset_index(drop=True)
+                right = alerts.iloc[a[both]].rename(columns={"us": "alert_us"}).reset_index(drop=True)
+                pairs = pd.concat([left, right], axis=1)
+                pairs.insert(0, "vehicle_id", key[0])
+                yield pairs[(pairs["report_us"] - pairs["alert_us"]).abs() < self.within_us]
+        for state, value, new in zip((self.complaint, self.alert), known, news):
+            if new:
+                state.update(value)
 
     def close(self) -> None:
         pass
@@ -82,9 +84,11 @@ def potential_causes_stream(
 ) -> DataFrame:
     """Streaming twin of ``potential_causes``.
 
-    Inside a micro-batch records go by ``(ts, report before alert, seq)``, across batches by arrival; fed
-    in event-time order the result is that of the table version.  State is one complaint and one alert per
-    vehicle; ``forget_after`` lets it expire (never by default).
+    Records of a vehicle are taken in the order in which Spark delivers them, sorted by ``(ts, report
+    before alert, seq)`` inside each Arrow batch (10,000 records by default), so memory stays bounded for
+    any vehicle.  State is one complaint and one alert per vehicle; ``forget_after`` lets it expire (never
+    by default).  Where exact order inside large micro-batches matters, or one vehicle dominates, use
+    :func:`fleetlens.streaming.match_causes_in_batches`.
     """
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
     flat = stacked.select(

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fleetlens import operators as ops
+from fleetlens import jobs, operators as ops
 from fleetlens.functions import owner_name
 from fleetlens.schemas import SENSOR_REFERENCE
 from fleetlens.sources import owner_dimension, shared_tables as tables
@@ -308,15 +308,18 @@ def latest_per_vehicle(spark: SparkSession, folder: str) -> DataFrame:
         F.col("alert.level").alias("level"))
 
 
-def _pattern_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.dangerous_valves(_pairs(spark, folder).select(
-        "ts", "sensor_id", "value", "state",
-        # one reading pairs with several states: order its pairs by both arrival numbers
-        (F.col("seq") * F.lit(1 << 31) + F.col("state_seq")).alias("seq")), min_times=2, heat_above=HOT)
-
-
 @query
 def customer_service(spark: SparkSession, folder: str) -> DataFrame:
     """The whole chain: readings joined with states, pattern alerts, matched with complaints."""
-    reports = tables.as_reports(tables.events(spark, folder))
-    return ops.potential_causes(reports, _pattern_alerts(spark, folder), "2 days", VEHICLE)
+    raw = tables.events(spark, folder)
+    return jobs.customer_service(
+        tables.as_reports(raw), tables.primary(raw), tables.valve_states(raw), "2 days", VEHICLE,
+        pairs={"size": PAIR_WINDOW, "within": PAIR_REACH}, pattern={"min_times": 2, "heat_above": HOT})
+
+
+@query
+def pattern_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    raw = tables.events(spark, folder)
+    return jobs.pattern_alerts(
+        tables.primary(raw), tables.valve_states(raw), {"size": PAIR_WINDOW, "within": PAIR_REACH},
+        {"min_times": 2, "heat_above": HOT})

@@ -195,14 +195,14 @@ FROM ({_READING}) r LEFT JOIN supplier s ON s.s_suppkey = r.sensor_id
 """
 
 
-def _valves(observed: str, hot: float, times: int, longest: bool = False) -> str:
+def _valves(observed: str, hot: float, times: int, longest: bool = False, order: str = "ts, seq") -> str:
     """Gaps and islands: number the runs by the rows outside the closure states."""
     pick = """
     QUALIFY row_number() OVER (PARTITION BY sensor_id, run_end ORDER BY times DESC) = 1""" if longest else ""
     return f"""
 WITH observed AS ({observed}),
 placed AS (
-    SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts, seq) AS pos,
+    SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY {order}) AS pos,
            state IN ('CLOSE', 'OBSTRUCTED') AS closed
     FROM observed),
 ends AS (
@@ -232,14 +232,14 @@ _ALERTS = f"SELECT ts, sensor_id, units, value, 2 AS level, seq FROM ({_READING}
 
 
 def _causes(alerts: str) -> str:
-    over = "OVER (PARTITION BY vehicle_id ORDER BY ts, kind, seq ROWS UNBOUNDED PRECEDING)"
+    over = "OVER (PARTITION BY vehicle_id ORDER BY ts, kind, seq, tie ROWS UNBOUNDED PRECEDING)"
     return f"""
 WITH tagged AS (
-    SELECT vehicle_id, ts, 0 AS kind, seq,
+    SELECT vehicle_id, ts, 0 AS kind, seq, '' AS tie,
            struct_pack(ts := ts, name := customer_name, value := value) AS report, NULL AS alert
     FROM ({_REPORTS}) WHERE value IN ('BROKEN_DOWN', 'DISSATISFIED')
     UNION ALL
-    SELECT sensor_id // 10, ts, 1, seq, NULL,
+    SELECT sensor_id // 10, ts, 1, seq, units, NULL,
            struct_pack(ts := ts, sensor_id := sensor_id, units := units, value := value, level := level)
     FROM ({alerts})),
 seen AS (
@@ -269,5 +269,5 @@ SELECT vehicle_id, r.ts AS report_ts, r.customer_name, r.value AS report_value,
        a.sensor_id, a.units, a.value AS alert_value, a.level
 FROM r FULL JOIN a USING (vehicle_id)
 """
-_PAIRS_IN_ORDER = f"SELECT ts, sensor_id, value, state, seq * 2147483648 + state_seq AS seq FROM ({_PAIRS})"
-SQL["customer_service"] = _causes(_valves(_PAIRS_IN_ORDER, 60, 2))
+SQL["pattern_alerts"] = _valves(_PAIRS, 60, 2, order="ts, seq, state_seq")
+SQL["customer_service"] = _causes(SQL["pattern_alerts"])

@@ -14,6 +14,7 @@ from fleetlens.schemas import CUSTOMER_REPORT, SENSORS_PER_VEHICLE, SENSOR_ALERT
 _UPTO = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE = (Window.unboundedPreceding, -1)
 _ALERT_FIRST = 1 << 62  # arrival numbers stay below; puts alerts behind the reports of the same instant
+_ORDER = ["ts", "seq", "tie"]
 REPORT, ALERT, KNOWN = "report", "alert", "known"
 
 
@@ -30,16 +31,16 @@ def stack_reports_and_alerts(
 ) -> DataFrame:
     """Complaints and alerts as one bag keyed by vehicle; other reports are dropped before any shuffle.
 
-    Columns: ``vehicle_id, ts, seq, kind, report STRUCT, alert STRUCT``; the struct of the other kind is
-    NULL.  ``seq`` orders reports before alerts of the same instant.
+    Columns: ``vehicle_id, ts, seq, tie, kind, report STRUCT, alert STRUCT``; the struct of the other kind
+    is NULL.  ``seq`` orders reports before alerts of the same instant, ``tie`` alerts of the same record.
     """
     expect(reports, CUSTOMER_REPORT)
     expect(alerts, SENSOR_ALERT)
     complaints = reports.where(is_complaint("value")).select(
-        "vehicle_id", "ts", "seq", F.lit(REPORT).alias("kind"), _report().alias("report"))
+        "vehicle_id", "ts", "seq", F.lit("").alias("tie"), F.lit(REPORT).alias("kind"), _report().alias("report"))
     marked = alerts.select(
         vehicle_of("sensor_id", sensors_per_vehicle).alias("vehicle_id"), "ts",
-        (F.col("seq") + F.lit(_ALERT_FIRST)).alias("seq"), F.lit(ALERT).alias("kind"),
+        (F.col("seq") + F.lit(_ALERT_FIRST)).alias("seq"), F.col("units").alias("tie"), F.lit(ALERT).alias("kind"),
         _alert().alias("alert"))
     return complaints.unionByName(marked, allowMissingColumns=True)
 
@@ -70,7 +71,7 @@ def match_stacked(
     """
     shapes = {f.name: f.dataType.simpleString() for f in stacked.schema.fields}
     scanned = ordered_scan(
-        stacked, ["vehicle_id"], ("ts", "seq"),
+        stacked, ["vehicle_id"], _ORDER,
         local=lambda w: [{
             "_report": F.last("report", ignorenulls=True).over(w.rowsBetween(*_UPTO)),
             "_alert": F.last("alert", ignorenulls=True).over(w.rowsBetween(*_UPTO)),
@@ -91,7 +92,7 @@ def match_stacked(
 
 def last_seen(kind: str) -> Column:
     """Aggregate: the last ``report`` or ``alert`` of a stacked bag in its order."""
-    return F.max_by(kind, F.when(F.col(kind).isNotNull(), F.struct("ts", "seq")))
+    return F.max_by(kind, F.when(F.col(kind).isNotNull(), F.struct(*_ORDER)))
 
 
 def near(pairs: DataFrame, within: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Ordered failure pattern: a normal row, then a run of closures, then heat.
 
-Per sensor, rows ordered by ``(ts, seq)``:
+Per sensor, rows ordered by ``(ts, seq)``, pairs of one reading then by ``state_seq``:
 
 * a *run* is a maximal block of consecutive rows whose state is in ``closure``;
 * a *start* is a row whose state is in ``normal`` and that is followed, up to the end of the run, by
@@ -26,6 +26,12 @@ _BEFORE = (Window.unboundedPreceding, -1)
 NORMAL, CLOSURE = (OPEN, CLOSE), (CLOSE, OBSTRUCTED)
 
 
+def pattern_order(observed: DataFrame) -> list[str]:
+    """Ordering columns: one reading joined with several states is told apart by ``state_seq``."""
+    expect(observed, OBSERVED_STATE)
+    return ["ts", "seq", *(["state_seq"] if "state_seq" in observed.columns else [])]
+
+
 def scan_pattern(
     observed: DataFrame,
     normal: tuple[str, ...] = NORMAL,
@@ -36,9 +42,9 @@ def scan_pattern(
 ) -> DataFrame:
     """For every row: ``pos`` (1 is the last row of its sensor), ``heat`` (nearest hot row from here on),
     ``end`` (nearest later row outside ``closure``: its ``pos`` and ``heat``), ``normal``, ``closed``."""
-    expect(observed, OBSERVED_STATE)
+    order = pattern_order(observed)
     rows = observed.select(
-        "sensor_id", "ts", "seq",
+        "sensor_id", *order,
         # one column for both state sets: the two readers of the sliced rows then share one shuffle
         (F.col("state").isin(*normal).cast("int") + 2 * F.col("state").isin(*closure).cast("int")).alias("_sets"),
         F.when((F.col("value") > heat_above) & ~F.isnan("value"),
@@ -48,7 +54,7 @@ def scan_pattern(
     here = F.struct(F.col("_pos").alias("pos"), F.col("_heat").alias("heat"))
     heat = "struct<ts:timestamp,value:double>"
     scanned = ordered_scan(
-        rows, ["sensor_id"], ("ts", "seq"), backwards=True,
+        rows, ["sensor_id"], order, backwards=True,
         local=lambda w: [
             {"_pos": F.row_number().over(w).cast("long"),
              "_heat": F.last("_hot", ignorenulls=True).over(w.rowsBetween(*_UPTO))},

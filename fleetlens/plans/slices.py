@@ -67,7 +67,7 @@ class Slices:
                 F.array(*[F.lit(t).cast("long") for t in self.busy]),
                 F.array(*[F.array(*[F.lit(s).cast("long") for s in self.busy[t]]) for t in self.busy]),
             )
-            below = F.size(F.filter(F.element_at(limits, place), lambda limit: limit <= F.col(order[-1])))
+            below = F.size(F.filter(F.element_at(limits, place), lambda limit: limit <= F.col(order[1])))
             part = part + F.when(place.isin(*self.busy), below).otherwise(0)
         # never NULL, so that a join on it adds no filter and both its sides can share one shuffle
         return cut.withColumn("slice", F.coalesce(part, F.lit(0))).drop("_us", "_cut")
@@ -93,7 +93,7 @@ def plan_slices(
     n = min(max_slices, -(-total // rows_per_slice))
     if n <= 1:
         return Slices()
-    clock = df.select(_place(df, order[0]).cast("double").alias("us"), _place(df, order[-1]).alias("seq"))
+    clock = df.select(_place(df, order[0]).cast("double").alias("us"), _place(df, order[1] if len(order) > 1 else order[0]).alias("seq"))
     chosen = Counter(clock.approxQuantile("us", [k / n for k in range(1, n)], 1.0 / (4 * n)))
     times = sorted(int(t) for t in chosen)
     repeated = {int(t): c for t, c in chosen.items() if c > 1}

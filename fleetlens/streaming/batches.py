@@ -17,10 +17,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from fleetlens.functions import interval_micros, micros
 from fleetlens.operators.causes import KNOWN, last_seen, match_stacked, stack_reports_and_alerts
 from fleetlens.operators.patterns import (
-    CLOSURE, NORMAL, as_pattern_alerts, check_after_match, longest_per_run, scan_pattern,
+    CLOSURE, NORMAL, as_pattern_alerts, check_after_match, longest_per_run, pattern_order, scan_pattern,
 )
 from fleetlens.plans.slices import ROWS_PER_SLICE
-from fleetlens.schemas import OBSERVED_STATE, SENSORS_PER_VEHICLE, WATERMARK_DELAY, expect
+from fleetlens.schemas import SENSORS_PER_VEHICLE, WATERMARK_DELAY
 from fleetlens.streaming.sinks import _each_batch, _write_batch
 
 FULL_EVERY = 50
@@ -90,7 +90,7 @@ def _as_known(state: DataFrame) -> DataFrame:
     """State rows in front of everything a micro-batch holds."""
     return state.select(
         "vehicle_id", F.lit("0001-01-01 00:00:00").cast("timestamp").alias("ts"), F.lit(0).cast("long").alias("seq"),
-        F.lit(KNOWN).alias("kind"), "report", "alert")
+        F.lit("").alias("tie"), F.lit(KNOWN).alias("kind"), "report", "alert")
 
 
 def read_pattern_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -116,9 +116,8 @@ def match_patterns_in_batches(
     behind that point on arrival is late and dropped.  ``pending`` holds the starts that wait for the end
     of their run or for heat, ``clock`` the point itself.
     """
-    expect(observed, OBSERVED_STATE)
     check_after_match(after_match)
-    columns = OBSERVED_STATE.names
+    columns = ["sensor_id", "value", "state", *pattern_order(observed)]
 
     def act(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession

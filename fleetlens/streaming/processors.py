@@ -16,8 +16,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from fleetlens.functions import interval_micros, micros
 from fleetlens.operators.causes import REPORT, stack_reports_and_alerts
-from fleetlens.operators.patterns import CLOSURE, NORMAL
-from fleetlens.schemas import LEVEL_PATTERN, OBSERVED_STATE, SENSORS_PER_VEHICLE, UNITS_NOT_OPENING, expect
+from fleetlens.operators.patterns import CLOSURE, NORMAL, pattern_order
+from fleetlens.schemas import LEVEL_PATTERN, SENSORS_PER_VEHICLE, UNITS_NOT_OPENING
 
 _COMPLAINT_STATE = "us long, customer_name string, report_value string"
 _ALERT_STATE = "us long, sensor_id long, units string, alert_value double, level int"
@@ -45,7 +45,7 @@ class CauseProcessor(StatefulProcessor):
         known = [state.get() if state.exists() else None for state in (self.complaint, self.alert)]
         news = [False, False]
         for chunk in rows:  # one Arrow batch of the group at a time
-            chunk = chunk.sort_values(["us", "seq"], kind="stable")
+            chunk = chunk.sort_values(["us", "seq", "tie"], kind="stable")
             is_report = (chunk["kind"] == REPORT).to_numpy()
             sides = []
             for i, (mine, names) in enumerate(((is_report, _COMPLAINT_NAMES), (~is_report, _ALERT_NAMES))):
@@ -87,12 +87,12 @@ def potential_causes_stream(
     Records of a vehicle are taken in the order in which Spark delivers them, sorted by ``(ts, report
     before alert, seq)`` inside each Arrow batch (10,000 records by default), so memory stays bounded for
     any vehicle.  State is one complaint and one alert per vehicle; ``forget_after`` lets it expire (never
-    by default).  Where exact order inside large micro-batches matters, or one vehicle dominates, use
+    by default; Spark then keeps running empty batches, so such a query is stopped, not drained).  Where exact order inside large micro-batches matters, or one vehicle dominates, use
     :func:`fleetlens.streaming.match_causes_in_batches`.
     """
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
     flat = stacked.select(
-        "vehicle_id", micros("ts").alias("us"), "seq", "kind",
+        "vehicle_id", micros("ts").alias("us"), "seq", "tie", "kind",
         "report.customer_name", F.col("report.value").alias("report_value"),
         F.coalesce("alert.sensor_id", F.lit(0).cast("long")).alias("sensor_id"), "alert.units",
         F.coalesce("alert.value", F.lit(0.0)).alias("alert_value"),
@@ -109,7 +109,8 @@ def potential_causes_stream(
         F.timestamp_micros("alert_us").alias("alert_ts"), "sensor_id", "units", "alert_value", "level")
 
 
-_WAITING_ROW = "us long, seq long, value double, state string"
+_WAITING_ROW = "us long, seq long, state_seq long, value double, state string"
+_WAITING_NAMES = [part.split()[0] for part in _WAITING_ROW.split(", ")]
 _START = "pos long, seq long"
 _RUN = "times long, seq long"
 _MATCH = "sensor_id long, us long, value double, times long, seq long"
@@ -137,7 +138,7 @@ class PatternProcessor(StatefulProcessor):
         self.runs = handle.getListState("finished_runs", _RUN)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        fresh = [tuple(r) for pdf in rows for r in pdf[["us", "seq", "value", "state"]].itertuples(index=False)]
+        fresh = [tuple(r) for pdf in rows for r in pdf[_WAITING_NAMES].itertuples(index=False)]
         yield from self._advance(key, fresh, timerValues)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
@@ -145,7 +146,7 @@ class PatternProcessor(StatefulProcessor):
 
     def _advance(self, key: Any, fresh: list[tuple], timerValues: Any) -> Iterator[pd.DataFrame]:
         passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted([tuple(r) for r in self.waiting.get()] + fresh, key=lambda r: (r[0], r[1]))
+        rows = sorted([tuple(r) for r in self.waiting.get()] + fresh, key=lambda r: r[:3])
         ready = [r for r in rows if r[0] <= passed_us]
         later = rows[len(ready):]
         if later:
@@ -166,7 +167,7 @@ class PatternProcessor(StatefulProcessor):
         starts = [tuple(s) for s in self.starts.get()]
         runs = [tuple(r) for r in self.runs.get()]
         matches = []
-        for us, seq, value, state in ready:
+        for us, seq, _, value, state in ready:
             pos += 1
             if state not in self.closure:
                 long_enough = [(pos - p - 1, s) for p, s in starts if pos - p - 1 >= self.min_times]
@@ -198,8 +199,9 @@ def dangerous_valves_stream(
     after_match: str = "all",
 ) -> DataFrame:
     """Streaming twin of ``dangerous_valves``; ``observed`` needs a watermark on ``ts``."""
-    expect(observed, OBSERVED_STATE)
-    rows = observed.select("sensor_id", "ts", micros("ts").alias("us"), "seq", "value", "state")
+    pair = F.col("state_seq") if "state_seq" in pattern_order(observed) else F.lit(0).cast("long")
+    rows = observed.select(
+        "sensor_id", "ts", micros("ts").alias("us"), "seq", pair.alias("state_seq"), "value", "state")
     found = rows.groupBy("sensor_id").transformWithStateInPandas(
         statefulProcessor=PatternProcessor(normal, closure, min_times, heat_above, after_match),
         outputStructType=_MATCH, outputMode="append", timeMode="eventTime",

@@ -63,6 +63,12 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
     return ops.word_count(tables.table(spark, folder, "documents"), "text")
 
 
+@query
+def word_count_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    documents = tables.table(spark, folder, "documents").withColumnRenamed("doc_id", "seq")
+    return ops.word_count_changelog(documents, "text")
+
+
 @query
 def to_fahrenheit(spark: SparkSession, folder: str) -> DataFrame:
     return ops.to_fahrenheit(_readings(spark, folder)).withColumns(coarse("value"))

@@ -27,6 +27,14 @@ SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(lower(text), '\W+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word
 """
+SQL["word_count_changelog"] = r"""
+WITH texts AS (
+    SELECT doc_id AS seq,
+           list_filter(regexp_split_to_array(lower(text), '\W+'), lambda word: word <> '') AS words
+    FROM documents),
+placed AS (SELECT seq, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM texts)
+SELECT seq, pos, word, row_number() OVER (PARTITION BY word ORDER BY seq, pos) AS count FROM placed
+"""
 SQL["to_fahrenheit"] = f"""
 SELECT ts, sensor_id, 'FAHRENHEIT' AS units, {_coarse('value * 1.8::DOUBLE + 32.0::DOUBLE')} AS value, seq
 FROM ({_READING})

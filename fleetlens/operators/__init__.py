@@ -18,7 +18,7 @@ from fleetlens.operators.tables import (
 from fleetlens.operators.windows import (
     edit_bytes_per_user, sensor_deviation, sliding_mean, stack_observations, valve_performance,
 )
-from fleetlens.operators.words import running_word_count, word_count
+from fleetlens.operators.words import running_word_count, word_count, word_count_changelog
 
 __all__ = [
     "POTENTIAL_CAUSES_SQL", "dangerous_valves", "edit_bytes_per_user", "fahrenheit_and_celsius",
@@ -28,5 +28,5 @@ __all__ = [
     "stack_observations", "stack_reports_and_alerts", "state_alerts", "state_at_reading",
     "stolen_vehicles", "tag_alerts", "tag_readings", "temperature_and_obstruction_alerts",
     "to_fahrenheit", "valve_performance", "vehicle_activity", "with_owner", "with_sensor_reference",
-    "word_count",
+    "word_count", "word_count_changelog",
 ]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlens.functions import tokens
+from fleetlens.plans import Slices, ordered_scan
+from fleetlens.plans.slices import ROWS_PER_SLICE
 
 
 def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -24,3 +26,22 @@ def running_word_count(lines: DataFrame, text: str = "value") -> DataFrame:
     if not lines.isStreaming:
         raise ValueError("running_word_count needs a stream; use word_count on a table")
     return word_count(lines, text)
+
+
+def word_count_changelog(
+    lines: DataFrame, text: str = "value", seq: str = "seq",
+    slices: Slices | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """One row per word occurrence: how often the word has occurred up to there.
+
+    ``seq`` is the arrival number of a line; ``pos`` counts its words from 0.
+    """
+    words = lines.select(F.col(seq).alias("seq"), F.posexplode(tokens(text)).alias("pos", "word"))
+    scanned = ordered_scan(
+        words, ["word"], ["seq", "pos"],
+        local=lambda w: [{"_n": F.row_number().over(w).cast("long")}],
+        totals={"_rows": F.count(F.lit(1))},
+        inherit=lambda w: [{"_prior": F.sum("_rows").over(w.rowsBetween(Window.unboundedPreceding, -1))}],
+        inherited="_prior long", slices=slices, rows_per_slice=rows_per_slice,
+    )
+    return scanned.select("seq", "pos", "word", (F.col("_n") + F.coalesce("_prior", F.lit(0))).alias("count"))

@@ -44,12 +44,15 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="fleetlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The cluster's shared folder, ``spark.checkpoint.dir``; a temporary one only in local mode (tests)."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
+    return context.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -59,8 +62,7 @@ def settle(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -50,6 +50,11 @@ def load_customer_reports(spark: SparkSession, path: str, **kw: Any) -> DataFram
     return load_records(spark, path, schemas.CUSTOMER_REPORT, **kw)
 
 
+def load_alerts(spark: SparkSession, path: str, **kw: Any) -> DataFrame:
+    """Sensor alerts that another job wrote."""
+    return load_records(spark, path, schemas.SENSOR_ALERT, **kw)
+
+
 def load_edits(spark: SparkSession, path: str, **kw: Any) -> DataFrame:
     return load_records(spark, path, schemas.EDIT, **kw)
 

@@ -53,6 +53,14 @@ def test_word_count_on_the_sample_lines(spark):
     assert "" not in counts and sum(counts.values()) == 34
 
 
+@pytest.mark.parametrize("rows_per_slice", [100, 3])
+def test_word_count_changelog(spark, rows_per_slice):
+    lines = spark.createDataFrame([(1, "a b a"), (2, "a, b--"), (3, "a a")], "seq long, value string")
+    out = ops.word_count_changelog(lines, rows_per_slice=rows_per_slice)
+    assert rows_of(out) == [(1, 0, "a", 1), (1, 1, "b", 1), (1, 2, "a", 2), (2, 0, "a", 3), (2, 1, "b", 2),
+                            (3, 0, "a", 4), (3, 1, "a", 5)]
+
+
 def test_tokens_drop_empty_strings(spark):
     row = spark.createDataFrame([("--x,, Y--",)], "t string").select(tokens("t").alias("w")).first()
     assert row.w == ["x", "y"]

@@ -12,9 +12,9 @@ from test_patterns import brute_force
 def inputs(spark, tables, tmp_path_factory):
     folder = tmp_path_factory.mktemp("inputs")
     rng = random.Random(11)
-    readings = [(i * 400 + rng.randrange(150, 190), rng.choice([100, 100, 205]), rng.choice([20.0, 20.0, 590.0]))
+    readings = [(i * 400 + rng.randrange(101, 115), rng.choice([100, 100, 205]), rng.choice([20.0, 20.0, 590.0]))
                 for i in range(150)]
-    states = [(i * 400 + rng.randrange(0, 100), sensor, rng.choice(["OPEN", "CLOSE", "OBSTRUCTED", "OBSTRUCTED"]))
+    states = [(i * 400 + rng.randrange(97, 100), sensor, rng.choice(["OPEN", "CLOSE", "OBSTRUCTED", "OBSTRUCTED"]))
               for i in range(150) for sensor in (100, 205)]
     frames = {
         "measurements": tables.measurements(*readings),

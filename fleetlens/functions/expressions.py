@@ -61,9 +61,14 @@ def vehicle_of(sensor_id: Column | str, sensors_per_vehicle: int = SENSORS_PER_V
     return whole(_column(sensor_id), sensors_per_vehicle)
 
 
+def split_words(text: Column | str) -> Column:
+    """Lower-cased pieces of a text between non-word characters; may hold empty strings at the ends."""
+    return F.split(F.lower(text), r"\W+")
+
+
 def tokens(text: Column | str) -> Column:
-    """Lower-cased words of a text as an array; empty strings left by the split are removed."""
-    return F.array_remove(F.split(F.lower(text), r"\W+"), "")
+    """Lower-cased words of a text as an array, without empty strings."""
+    return F.array_remove(split_words(text), "")
 
 
 def is_complaint(report_value: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetlens.functions import tokens
+from fleetlens.functions import split_words, tokens
 from fleetlens.plans import Slices, ordered_scan
 from fleetlens.plans.slices import ROWS_PER_SLICE
 
@@ -15,10 +15,8 @@ def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
     Frequent words are summed inside each scan task first, so a word that makes up a third of the text
     sends one row per task through the shuffle.
     """
-    return (
-        lines.select(F.explode(tokens(text)).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-    )
+    words = lines.select(F.explode(split_words(text)).alias("word")).where(F.col("word") != "")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def running_word_count(lines: DataFrame, text: str = "value") -> DataFrame:

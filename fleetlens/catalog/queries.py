@@ -2,7 +2,7 @@
 
 The test tables cover 30 days with about 67 readings per sensor, so windows, thresholds and bands are
 wider or lower here than the native defaults.  Queries whose name ends in ``_sliced`` force the
-time-sliced plan that large tables take by themselves.
+time-sliced plan that large keys get by themselves.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 HOT = 60.0
 PAIR_WINDOW, PAIR_REACH = "1 day", "12 hours"
 VEHICLE = tables.SENSORS_PER_TEST_VEHICLE
-FORCED_SLICE_ROWS = 1_000
+FORCED_SLICE_ROWS = 60
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def running_mean_every_third(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def running_mean_all_sensors(spark: SparkSession, folder: str) -> DataFrame:
     return ops.running_mean(
-        _readings(spark, folder), compat=True, rows_per_slice=FORCED_SLICE_ROWS).withColumns(coarse("mean"))
+        _readings(spark, folder), compat=True, rows_per_slice=1_000).withColumns(coarse("mean"))
 
 
 # --- windows ---------------------------------------------------------------------------------------

@@ -1,11 +1,11 @@
 """Ordered scans that survive a key holding a third of all rows.
 
 A running aggregate or "last seen" rule needs the rows of a key in order, and a plain
-``Window.partitionBy(key)`` gives all rows of a hot key to one task.  Here the *timeline* is cut into
-slices of about equal row counts over the whole table, so no (key, slice) group can be larger than one
-slice, however the keys are distributed:
+``Window.partitionBy(key)`` gives all rows of a key to one task.  That is right for keys of ordinary size.
+Where some keys exceed ``rows_per_slice`` rows, *their timeline* is cut into slices of about equal row
+counts, so that no (key, slice) group is larger than a slice:
 
-1. inside each (key, slice): the ordinary window functions;
+1. inside each (key, slice): the ordinary window functions; keys of ordinary size have one slice;
 2. one row of totals per (key, slice), pre-aggregated before its shuffle where the totals do not depend
    on step 1;
 3. over those totals only (at most ``max_slices`` rows per key): what each slice inherits from the ones
@@ -14,8 +14,9 @@ slice, however the keys are distributed:
    (key, slice) from step 1, so they are not shuffled again.
 
 Slice limits are constants found once from quantiles of the first ordering column; an instant so busy
-that it would fill slices on its own is cut further by the second one.  They only steer balance: any limits give the
-same result.  A table that fits one slice takes the plain window and pays for nothing else.
+that it would fill slices on its own is cut further by the second one.  They only steer balance: any
+limits give the same result.  A table without large keys takes the plain window and pays for no more
+than the count of rows per key.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
@@ -31,16 +33,19 @@ from fleetlens.functions import micros
 
 ROWS_PER_SLICE = 4_000_000
 MAX_SLICES = 16_384
+MAX_LISTED_KEYS = 1_000  # with more large keys than this, all keys are sliced
 _SUB = 1 << 16  # room for the sub-slices of one instant
 
 
 @dataclass(frozen=True)
 class Slices:
     """Constant limits in the first ordering column (times in microseconds), and limits in the second
-    one inside busy instants."""
+    one inside busy instants; they apply to the ``listed`` values of column ``key``, or to all rows."""
 
     times: tuple[int, ...] = ()
     busy: dict[int, tuple[int, ...]] = field(default_factory=dict)
+    key: str | None = None
+    listed: tuple[Any, ...] = ()
 
     @property
     def single(self) -> bool:
@@ -69,6 +74,8 @@ class Slices:
             )
             below = F.size(F.filter(F.element_at(limits, place), lambda limit: limit <= F.col(order[1])))
             part = part + F.when(place.isin(*self.busy), below).otherwise(0)
+        if self.key:
+            part = F.when(F.col(self.key).isin(*self.listed), part)
         # never NULL, so that a join on it adds no filter and both its sides can share one shuffle
         return cut.withColumn("slice", F.coalesce(part, F.lit(0))).drop("_us", "_cut")
 
@@ -81,19 +88,34 @@ def _place(df: DataFrame, column: str) -> Column:
 
 def plan_slices(
     df: DataFrame,
+    keys: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
     max_slices: int = MAX_SLICES,
     order: Sequence[str] = ("ts", "seq"),
 ) -> Slices:
-    """Find slice limits for ``df``: a row count, then (large tables only) quantiles.
+    """Find slice limits for ``df``: a row count per key, then (where some are large) quantiles.
 
-    Reads only the two ordering columns and brings at most ``2 * max_slices`` numbers to the driver.
+    Reads the keys, then the ordering columns of the large ones.  Brings at most ``MAX_LISTED_KEYS`` keys
+    and ``2 * max_slices`` numbers to the driver.
     """
-    total = df.count()
-    n = min(max_slices, -(-total // rows_per_slice))
-    if n <= 1:
+    large = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_slice)
+        .orderBy(F.desc("_rows")).limit(MAX_LISTED_KEYS + 1).collect()
+    )
+    if not large:
         return Slices()
-    clock = df.select(_place(df, order[0]).cast("double").alias("us"), _place(df, order[1] if len(order) > 1 else order[0]).alias("seq"))
+    key, listed, affected = None, (), df
+    if len(keys) == 1 and len(large) <= MAX_LISTED_KEYS:
+        key = keys[0]
+        listed = tuple(row[key] for row in large if row[key] is not None)
+        affected = df.where(F.col(key).isin(*listed))
+        total = sum(row["_rows"] for row in large)
+    else:
+        total = df.count() if keys else large[0]["_rows"]
+    n = min(max_slices, -(-total // rows_per_slice))
+    clock = affected.select(
+        _place(df, order[0]).cast("double").alias("us"),
+        _place(df, order[1] if len(order) > 1 else order[0]).alias("seq"))
     chosen = Counter(clock.approxQuantile("us", [k / n for k in range(1, n)], 1.0 / (4 * n)))
     times = sorted(int(t) for t in chosen)
     repeated = {int(t): c for t, c in chosen.items() if c > 1}
@@ -110,7 +132,7 @@ def plan_slices(
         for row in rows:
             step = max(1, most // repeated[row["us"]])
             busy[row["us"]] = tuple(sorted(set(row["limits"][::step])))
-    return Slices(tuple(times), busy)
+    return Slices(tuple(times), busy, key, listed)
 
 
 def ordered_scan(
@@ -132,7 +154,7 @@ def ordered_scan(
     rows only (in scan direction); with ``backwards`` the scan runs from the last row to the first.
     """
     if slices is None:
-        slices = plan_slices(df, rows_per_slice, order=order)
+        slices = plan_slices(df, keys, rows_per_slice, order=order)
     turn = F.desc if backwards else F.asc
     ordering = [turn(column) for column in order]
     carried = T.StructType.fromDDL(inherited)

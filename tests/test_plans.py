@@ -126,7 +126,7 @@ def test_sliced_pattern_scan_shuffles_its_rows_once(tables):
 
 
 def test_sliced_running_mean_reduces_totals_before_their_shuffle(readings):
-    plan = plan_of(ops.running_mean(readings, rows_per_slice=100))
+    plan = plan_of(ops.running_mean(readings, rows_per_slice=10))
     assert "partial_sum" in plan and plan.count("FileScan") == 2
 
 

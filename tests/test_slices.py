@@ -8,7 +8,7 @@ from fleetlens.plans import Slices, plan_slices
 
 
 def _sliced(df, rows_per_slice):
-    slices = plan_slices(df, rows_per_slice)
+    slices = plan_slices(df, rows_per_slice=rows_per_slice)
     return slices, slices.assign(df)
 
 
@@ -52,5 +52,23 @@ def test_explicit_limits(tables):
 @pytest.mark.parametrize("max_slices", [2, 5])
 def test_number_of_slices_is_bounded(tables, max_slices):
     rows = [(t, 1, 1.0) for t in range(1, 500)]
-    slices = plan_slices(tables.measurements(*rows), 1, max_slices)
+    slices = plan_slices(tables.measurements(*rows), [], 1, max_slices)
     assert len(slices.times) < max_slices
+
+
+def test_only_large_keys_are_sliced(tables):
+    rows = [(t, 0 if t % 3 == 0 else t, 1.0) for t in range(1, 901)]
+    df = tables.measurements(*rows)
+    slices = plan_slices(df, ["sensor_id"], 50)
+    assert slices.key == "sensor_id" and slices.listed == (0,)
+    groups = slices.assign(df).groupBy("sensor_id", "slice").count()
+    assert groups.agg(F.max("count")).first()[0] <= 100
+    assert rows_of(groups.where("sensor_id <> 0").select("slice").distinct()) == [(0,)]
+    assert plan_slices(df, ["sensor_id"], 300).single
+
+
+def test_many_large_keys_slice_everything(tables, monkeypatch):
+    monkeypatch.setattr("fleetlens.plans.slices.MAX_LISTED_KEYS", 3)
+    rows = [(t, t % 5, 1.0) for t in range(1, 501)]
+    slices = plan_slices(tables.measurements(*rows), ["sensor_id"], 50)
+    assert slices.key is None and len(slices.times) == 9

@@ -18,10 +18,10 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 HEADLINE = [
     "word_count", "to_fahrenheit", "fahrenheit_and_celsius", "heat_alerts", "latest_observation",
-    "max_reading_last", "max_reading_first", "running_mean", "running_mean_sliced", "running_mean_all_sensors",
+    "max_reading_last", "max_reading_first", "running_mean", "running_mean_all_sensors",
     "max_changelog_last", "sliding_mean", "sensor_deviation", "sensor_deviation_compat", "valve_performance",
     "state_at_reading", "state_alerts", "vehicle_activity", "with_owner", "stolen_vehicles", "dangerous_valves",
-    "dangerous_valves_sliced", "potential_causes", "potential_causes_sliced", "potential_causes_sql",
+    "potential_causes", "potential_causes_sql",
     "latest_per_vehicle", "edit_bytes_per_user", "customer_service",
 ]
 

@@ -6,11 +6,13 @@ needs the RocksDB state store provider (:func:`fleetlens.plans.settings`).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +21,9 @@ from fleetlens.operators.causes import REPORT, stack_reports_and_alerts
 from fleetlens.operators.patterns import CLOSURE, NORMAL, pattern_order
 from fleetlens.schemas import LEVEL_PATTERN, SENSORS_PER_VEHICLE, UNITS_NOT_OPENING
 
+# The processors travel to the Python workers by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _COMPLAINT_STATE = "us long, customer_name string, report_value string"
 _ALERT_STATE = "us long, sensor_id long, units string, alert_value double, level int"
 _COMPLAINT_NAMES = [part.split()[0] for part in _COMPLAINT_STATE.split(", ")]

@@ -43,11 +43,12 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(raw ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def words_of(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all rows one after another, and the n + 1 row limits among them."""
+def word_spans(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of all rows, starts and ends of the words in them, and n + 1 row limits among words."""
     data, limits = string_bytes(column)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(limits), np.int64)
+        none = np.zeros(0, np.int64)
+        return data, none, none, np.zeros(len(limits), np.int64)
     lower = data.copy()
     lower[(data >= 65) & (data <= 90)] += 32
     if spaced:
@@ -63,7 +64,17 @@ def words_of(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
     following = np.concatenate((inside[1:], [False]))
     ends = np.flatnonzero(inside & (~following | edge[1:])) + 1
-    return run_hashes(_BYTE_VALUES[lower], starts, ends), np.searchsorted(starts, limits)
+    return lower, starts, ends, np.searchsorted(starts, limits)
+
+
+def hash_spans(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return run_hashes(_BYTE_VALUES[lower], starts, ends)
+
+
+def words_of(column: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all rows one after another, and the n + 1 row limits among them."""
+    lower, starts, ends, limits = word_spans(column, spaced)
+    return hash_spans(lower, starts, ends), limits
 
 
 def row_numbers(limits: np.ndarray) -> np.ndarray:

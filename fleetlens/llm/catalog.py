@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, packing, secret_scan, toxicity as toxic
+from fleetlens.llm import chat, html_text, neighbours, packing, quality, secret_scan, toxicity as toxic
 from fleetlens.llm.tables import read_table
 
 #: A conversation that the chat query adds to the table, and what both its turns say.
@@ -28,6 +28,15 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -48,6 +57,8 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": html_extraction,
     "op3_toxicity": toxicity,
+    "op4_nearest_neighbours": nearest_neighbours,
+    "op6_quality_classifier": quality_classifier,
     "op7_chat_formatting": chat_formatting,
     "op8_best_fit_packing": best_fit_packing,
     "op10_secret_scans": secret_scans,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, neighbours, packing, quality, secret_scan, toxicity as toxic
+from fleetlens.llm import chat, html_text, near_duplicates, neighbours, packing, quality, secret_scan, toxicity as toxic
 from fleetlens.llm.tables import read_table
 
 #: A conversation that the chat query adds to the table, and what both its turns say.
@@ -50,6 +50,10 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": quality_classifier,
     "op7_chat_formatting": chat_formatting,
     "op8_best_fit_packing": best_fit_packing,
+    "op9_minhash_near_dedup": minhash_near_dedup,
     "op10_secret_scans": secret_scans,
 }
 SQL: dict[str, str] = {}

@@ -29,6 +29,8 @@ from fleetlens.llm.tables import map_chunks, settle
 from fleetlens.llm.words import mix, run_hashes, words_of
 
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
+#: Hashes of a label: those of its tree and of the next one, which tell nodes of a crowded region apart.
+LABEL = 2 * DEPTH
 REGION, ALWAYS = 16, 2
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
 _FACTORS = np.random.default_rng(20260309).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,13 +95,12 @@ _CANDIDATE = "a long, b long, depth int, tree int, label binary"
 def _planted(nodes: DataFrame) -> DataFrame:
     """One row per node and tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = 4 * DEPTH
         for batch in batches:
-            signatures = batch.column("signature").to_pylist()
+            signatures = [s + s for s in batch.column("signature").to_pylist()]
             for t in range(TREES):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(batch.num_rows, t), pa.int32()),
-                     pa.array([s[t * width:(t + 1) * width] for s in signatures], pa.binary()), batch.column("node")],
+                     pa.array([s[4 * DEPTH * t:4 * (DEPTH * t + LABEL)] for s in signatures], pa.binary()), batch.column("node")],
                     names=["tree", "label", "node"])
 
     return nodes.select("node", "signature").mapInArrow(run, _ORDERED)
@@ -107,7 +108,7 @@ def _planted(nodes: DataFrame) -> DataFrame:
 
 def _labels(batch: pa.RecordBatch) -> np.ndarray:
     """Tree and hashes of each row as one matrix of numbers."""
-    label = np.frombuffer(b"".join(batch.column("label").to_pylist()), ">u4").reshape(-1, DEPTH)
+    label = np.frombuffer(b"".join(batch.column("label").to_pylist()), ">u4").reshape(-1, LABEL)
     return np.hstack([batch.column("tree").to_numpy()[:, None], label.astype(np.int64)])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, html_text, near_duplicates, neighbours, packing, quality, secret_scan, toxicity as toxic
+from fleetlens.llm import chat, contamination, html_text, near_duplicates, neighbours, packing, quality, secret_scan, toxicity as toxic
 from fleetlens.llm.tables import read_table
 
 #: A conversation that the chat query adds to the table, and what both its turns say.
@@ -20,6 +20,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": benchmark_decontamination,
     "op2_html_extraction": html_extraction,
     "op3_toxicity": toxicity,
     "op4_nearest_neighbours": nearest_neighbours,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import chat, contamination, html_text, near_duplicates, neighbours, packing, quality, secret_scan, toxicity as toxic
+from fleetlens.llm import chat, contamination, html_text, near_duplicates, neighbours, packing, quality, repeats, secret_scan, toxicity as toxic
 from fleetlens.llm.tables import read_table
 
 #: A conversation that the chat query adds to the table, and what both its turns say.
@@ -37,6 +37,10 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": html_extraction,
     "op3_toxicity": toxicity,
     "op4_nearest_neighbours": nearest_neighbours,
+    "op5_suffix_array_dedup": suffix_array_dedup,
     "op6_quality_classifier": quality_classifier,
     "op7_chat_formatting": chat_formatting,
     "op8_best_fit_packing": best_fit_packing,

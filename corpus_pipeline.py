@@ -7,11 +7,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import packing, secret_scan
+from fleetlens.llm import contamination, near_duplicates, packing, secret_scan, toxicity
 from fleetlens.llm.catalog import vocabulary
 from fleetlens.llm.tables import read_table, shared_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labels of the input's own rows."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity of 0.8 or more."""
+    return near_duplicates.one_of_each(docs, shingle=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return contamination.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced; every document stays."""
     return secret_scan.redact_secrets(docs)
@@ -22,6 +37,9 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
     ("secret_scans", scan_secrets),
     ("best_fit_packing", pack_documents),
 ]

@@ -8,7 +8,10 @@ order with a common prefix of ``LEAST_DEPTH`` hashes or more.  The depth adapts
 
 Links are confirmed on the full sets.  As only components are wanted, candidates inside a component that is
 already found are not compared: first each node's strongest candidate is confirmed, then each component's
-strongest one, then all that still lead from one component to another.
+strongest one, then all that still lead from one component to another.  A node that was a candidate of a large
+component but linked with none of it may have met only a few nodes of a crowded region: its signature is then
+compared with those of all nodes of that component, in blocks of bounded size, and the closest ones are
+confirmed, until that gives no further link.
 
 Words are lower-cased (A-Z) runs between the six ASCII white spaces.  With fewer words than a shingle has, the
 whole sequence is the only shingle; without words, or with null text, the set is empty and linked with
@@ -32,6 +35,10 @@ TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 #: Hashes of a label: those of its tree and of the next one, which tell nodes of a crowded region apart.
 LABEL = 2 * DEPTH
 REGION, ALWAYS = 16, 2
+#: A component is large from so many nodes on; blocks hold so many; so many of a block's closest are confirmed.
+CROWD, BLOCK, CLOSEST = 8, 4096, 8
+#: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
+SLACK = 0.15
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
 _FACTORS = np.random.default_rng(20260309).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = np.random.default_rng(20260310).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64)
@@ -221,12 +228,47 @@ def _strongest(live: DataFrame) -> DataFrame:
     return both.select("p.a", "p.b").distinct()
 
 
+def _in_crowds(pairs: DataFrame, found: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """New candidates (a, b) of nodes that were candidates of a large component they are not in."""
+    sizes = found.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") >= CROWD)
+    live = _between(pairs, found)
+    asked = (live.select(F.col("a").alias("x"), F.col("cb").alias("component"))
+             .unionByName(live.select(F.col("b").alias("x"), F.col("ca").alias("component"))).distinct()
+             .join(sizes.select("component"), "component", "left_semi"))
+    shape = settle(asked.groupBy("component").agg(F.count("*").alias("asks")).join(sizes, "component").select(
+        "component", F.ceil(F.col("asks") / BLOCK).cast("int").alias("down"),
+        F.ceil(F.col("size") / BLOCK).cast("int").alias("over")))
+    left = (asked.join(signatures.withColumnRenamed("node", "x"), "x").join(shape, "component").withColumns(
+        {"i": F.pmod(F.xxhash64("x"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))}
+    ).select("component", "i", "j", "x", "signature"))
+    right = (found.join(shape, "component").join(signatures, "node").withColumns(
+        {"i": F.explode(F.expr("sequence(0, down - 1)")), "j": F.pmod(F.xxhash64("node"), F.col("over")).cast("int")}
+    ).select("component", "i", "j", "node", "signature"))
+
+    def closest(left: pa.Table, right: pa.Table) -> pa.Table:
+        x, node = left.column("x").to_numpy(), right.column("node").to_numpy()
+        mine, theirs = (np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(
+            -1, TREES * DEPTH) for t in (left, right))
+        out = []
+        for k in range(len(x) if len(node) else 0):
+            share = (theirs == mine[k]).mean(1)
+            best = np.argsort(-share, kind="stable")[:CLOSEST]
+            out += [(int(min(x[k], node[at])), int(max(x[k], node[at]))) for at in best
+                    if share[at] >= percent / 100 - SLACK and node[at] != x[k]]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    keys = ["component", "i", "j"]
+    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(closest, "a long, b long")
+    return made.distinct().join(pairs, ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per document row."""
     signed = settle(_signed(docs, shingle))
-    nodes = (signed.where("signature is not null and doc_id is not null").groupBy("key", "n_shingles")
+    nodes = settle(signed.where("signature is not null and doc_id is not null").groupBy("key", "n_shingles")
              .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
-    pairs = settle(candidates(nodes))
+    pairs = every = settle(candidates(nodes))
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = settle(_sets(docs, shingle).join(ends, "node", "left_semi"))
     links = found = None
@@ -239,6 +281,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         found = components(links)
         if not last:  # what was compared and has no link is not compared again
             pairs = live.join(chosen, ["a", "b"], "left_anti").select("a", "b", "strength")
+    every = every.select("a", "b")
+    signatures = nodes.select("node", "signature")
+    while True:
+        chosen = settle(_in_crowds(every, found, signatures, percent))
+        passed = settle(confirmed(chosen, sets, percent))
+        if passed.isEmpty():
+            break
+        every, links = every.unionByName(chosen), links.unionByName(passed)
+        found = components(links)
     named = (nodes.select("key", "n_shingles", "node")
              .join(found, "node", "left").select("key", "n_shingles", F.coalesce("component", "node").alias("c")))
     own = signed.select("doc_id", "key", "n_shingles")
@@ -247,3 +298,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
                        .otherwise(F.col("doc_id")))
     return linked.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each group of near duplicates does."""
+    dropped = near_duplicates(docs, shingle, percent).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)

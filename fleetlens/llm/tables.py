@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from fleetlens.plans.session import settle, shared_dir
 
@@ -38,7 +39,7 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 
 
 def map_chunks(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-               schema: str, limit: int = CHUNK_BYTES) -> DataFrame:
+               schema: str | StructType, limit: int = CHUNK_BYTES) -> DataFrame:
     """``mapInArrow`` with ``work`` on slices of bounded text size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -252,5 +252,18 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_chunks(picked, "text", work, SCHEMA, CHUNK_BYTES)
 
 
+def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` that score below ``DECISION``.  No shuffle."""
+    if model is None:
+        return docs
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        inputs = _inputs(*_counts(*_meter(model).shares_of(batch.column("text")), model.threshold))
+        scores = 1 / (1 + np.exp(-np.clip(inputs @ np.array(model.weights), -30, 30)))
+        return batch.filter(pa.array(scores < DECISION))
+
+    return map_chunks(docs, "text", work, docs.schema, CHUNK_BYTES)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels))

@@ -1,7 +1,7 @@
 """Benchmark decontamination with spaced seeds.
 
 Masks of kept and ignored places slide over the words of both sides; equal hashes of the kept words are hits, so
-a replaced word on an ignored place does no harm.  Test seeds first mark a bit map of bounded size.  Document
+a replaced word on an ignored place does no harm.  Test seeds first mark a bit map of bounded size, two bits each.  Document
 positions whose seed is not marked go no further; around the others a stretch of words is kept, and equal
 stretches of different documents are one.  Seeds of the stretches are then joined with the test seeds, and on
 each diagonal with a hit the aligned words are compared: document and item overlap if some ``SPAN`` aligned
@@ -24,8 +24,8 @@ from fleetlens.llm.words import mix, row_numbers, run_hashes, words_of
 #: Kept (1) and ignored (0) places.  The first mask is solid and serves short items.
 MASKS = ("11111111", "110110101011", "111001011011", "101101110011")
 SPAN, TOLERANCE = 13, 0.2
-#: Bits of the map per test seed, and its greatest size (2**26 bits are 8 MB).
-BITS_PER_SEED, MOST_BITS = 64, 1 << 26
+#: Bits of the map per test seed, and its greatest size (2**26 bits are 8 MB).  A seed sets two bits.
+BITS_PER_SEED, MOST_BITS = 1024, 1 << 26
 LEAST_BITS = 1 << 16
 _REACH = SPAN + max(map(len, MASKS))
 _STRETCH = "doc_id long, start long, stretch long, words array<long>"
@@ -77,9 +77,10 @@ def _bit_map(seeds: DataFrame) -> np.ndarray:
     bits = LEAST_BITS
     while bits < min(count * BITS_PER_SEED, MOST_BITS):
         bits *= 2
-    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
-    parts = (seeds.select(F.shiftright(place, 6).alias("word"),
-                          F.expr(f"shiftleft(1L, cast((hash & {bits - 1}) & 63 as int))").alias("bit"))
+    places = F.explode(F.array(*[F.expr(f"{half} & {bits - 1}L") for half in (
+        "hash", "shiftrightunsigned(hash, 32)")]))
+    parts = (seeds.select(places.alias("place"))
+             .select(F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
              .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())  # at most bits / 64 rows
     table = np.zeros(bits // 64, np.uint64)
     table[parts["word"].to_numpy(np.int64)] = parts["bits"].to_numpy(np.int64).astype(np.uint64)
@@ -87,8 +88,12 @@ def _bit_map(seeds: DataFrame) -> np.ndarray:
 
 
 def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(len(table) * 64 - 1)
-    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    """Which hashes may be of test seeds: both their bits are set."""
+    out = np.ones(len(hashes), bool)
+    for half in (hashes, hashes >> np.uint64(32)):
+        place = half & np.uint64(len(table) * 64 - 1)
+        out &= (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return out
 
 
 def _stretches(docs: DataFrame, table: np.ndarray) -> DataFrame:

@@ -24,7 +24,7 @@ SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)", re.DOTALL)
 _LABEL = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""",
                     re.IGNORECASE)
 _SPACE = re.compile(r"[\s\x00]+")

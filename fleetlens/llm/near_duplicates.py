@@ -4,11 +4,11 @@ A document's set are its distinct word shingles.  Equal sets are one node, named
 node has a MinHash signature, whose parts are its labels in several trees.  A tree is a sorted order of labels
 (a range-partitioned sort); nodes that share a longer prefix stand closer.  Candidates are neighbours in an
 order with a common prefix of ``LEAST_DEPTH`` hashes or more.  The depth adapts to the region: where more than
-``REGION`` nodes share a prefix, only neighbours that share a longer one are taken, besides the two next ones.
+``REGION`` nodes share a prefix, only neighbours that share a longer one are taken, besides the next one.
 
 Links are confirmed on the full sets.  As only components are wanted, candidates inside a component that is
-already found are not compared: first each node's strongest candidate is confirmed, then each component's
-strongest one, then all that still lead from one component to another.  A node that was a candidate of a large
+already found are not compared: some rounds confirm each component's strongest candidate, the first one that of
+each node, then all are compared that still lead from one component to another.  A node that was a candidate of a large
 component but linked with none of it may have met only a few nodes of a crowded region: its signature is then
 compared with those of all nodes of that component, in blocks of bounded size, and the closest ones are
 confirmed, until that gives no further link.
@@ -34,7 +34,9 @@ from fleetlens.llm.words import mix, run_hashes, words_of
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 #: Hashes of a label: those of its tree and of the next one, which tell nodes of a crowded region apart.
 LABEL = 2 * DEPTH
-REGION, ALWAYS = 16, 2
+REGION, ALWAYS = 8, 1
+#: Rounds that confirm the strongest candidate of each component before the rest is compared.
+ROUNDS = 4
 #: A component is large from so many nodes on; blocks hold so many; so many of a block's closest are confirmed.
 CROWD, BLOCK, CLOSEST = 8, 4096, 8
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
@@ -238,17 +240,18 @@ def _in_crowds(pairs: DataFrame, found: DataFrame, signatures: DataFrame, percen
     shape = settle(asked.groupBy("component").agg(F.count("*").alias("asks")).join(sizes, "component").select(
         "component", F.ceil(F.col("asks") / BLOCK).cast("int").alias("down"),
         F.ceil(F.col("size") / BLOCK).cast("int").alias("over")))
-    left = (asked.join(signatures.withColumnRenamed("node", "x"), "x").join(shape, "component").withColumns(
+    left = (asked.join(signatures.select(F.col("node").alias("x"), F.col("signature").alias("mine")), "x").join(shape, "component").withColumns(
         {"i": F.pmod(F.xxhash64("x"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))}
-    ).select("component", "i", "j", "x", "signature"))
-    right = (found.join(shape, "component").join(signatures, "node").withColumns(
+    ).select(F.col("component").alias("c"), "i", "j", "x", "mine"))
+    right = (found.join(shape, "component").join(
+        signatures.select("node", F.col("signature").alias("theirs")), "node").withColumns(
         {"i": F.explode(F.expr("sequence(0, down - 1)")), "j": F.pmod(F.xxhash64("node"), F.col("over")).cast("int")}
-    ).select("component", "i", "j", "node", "signature"))
+    ).select(F.col("component").alias("c"), "i", "j", "node", "theirs"))
 
     def closest(left: pa.Table, right: pa.Table) -> pa.Table:
         x, node = left.column("x").to_numpy(), right.column("node").to_numpy()
-        mine, theirs = (np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(
-            -1, TREES * DEPTH) for t in (left, right))
+        mine, theirs = (np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
+                        for column in (left.column("mine"), right.column("theirs")))
         out = []
         for k in range(len(x) if len(node) else 0):
             share = (theirs == mine[k]).mean(1)
@@ -258,7 +261,7 @@ def _in_crowds(pairs: DataFrame, found: DataFrame, signatures: DataFrame, percen
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    keys = ["component", "i", "j"]
+    keys = ["c", "i", "j"]
     made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(closest, "a long, b long")
     return made.distinct().join(pairs, ["a", "b"], "left_anti")
 
@@ -269,10 +272,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     nodes = settle(signed.where("signature is not null and doc_id is not null").groupBy("key", "n_shingles")
              .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
     pairs = every = settle(candidates(nodes))
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = settle(_sets(docs, shingle).join(ends, "node", "left_semi"))
+    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # Texts are joined, as they are smaller than their sets.
+    sets = settle(_sets(docs.select(F.col("doc_id").cast("long"), "text").join(ends, "doc_id", "left_semi"), shingle))
     links = found = None
-    for last in (False, False, True):
+    for last in (*[False] * ROUNDS, True):
         live = settle(_between(pairs, found))
         chosen = live.select("a", "b") if last else _strongest(live)
         chosen = settle(chosen)

@@ -1,0 +1,233 @@
+"""Operators that work row by row: page text, toxicity, quality, chat formatting, secrets."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import itertools
+import json
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from fleetlens.llm import catalog, chat, html_text, quality, secret_scan, toxicity
+from fleetlens.llm.words import words_of
+
+SMALL = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, *rows):
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+
+
+# --- words -------------------------------------------------------------------------------------------
+
+def test_words_follow_the_definition():
+    texts = ["", None, "One  two\tone\n", "a b é É", "x" * 5000, " \x0b\x0c\r "]
+    hashes, limits = words_of(pa.array(texts), spaced=True)
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    expected = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for t in texts]
+    assert np.diff(limits).tolist() == [len(w) for w in expected]
+    flat = [w for words in expected for w in words]
+    for (x, a), (y, b) in itertools.combinations(zip(flat, hashes.tolist()), 2):
+        assert (x == y) == (a == b)
+
+
+# --- pages -------------------------------------------------------------------------------------------
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><a href="/">Home</a></header><nav><ul><li><a href="/a">one</a></li></ul></nav>
+<div class="cookie-notice">We use cookies to make this page better for all of you every single day.</div>
+<article><h1>A &amp; B</h1><!-- <p>no</p> --><p>First   <b>bo</b>ld&nbsp;text,<br>next &lt;line&gt;.</p>
+<p>Short.</p><ul><li>item one</li><li>item <a href="x">two</a></li></ul>
+<div class="ad">Buy this thing now because it is very cheap and very good for you.</div>
+<blockquote>A quote &#8212; &#x41;.</blockquote><form><label>Mail</label><input type=text></form></article>
+<section id="comments"><p>I liked reading this article a lot, thank you so much for it.</p></section>
+<aside><p>Other things to read that are not part of the article at all.</p></aside>
+<footer>&copy; somebody</footer></body></html>"""
+
+
+def test_page_text_keeps_the_article_only():
+    assert html_text.main_text(PAGE)[0] == (
+        "A & B\nFirst bold text, next <line>.\nShort.\nitem one\nitem two\nA quote — A.")
+
+
+def test_page_without_main_element():
+    page = ("<body><div id=menu><a href=1>One</a> <a href=2>Two</a></div><p>" + "word " * 40 + "</p><p>"
+            + "more " * 30 + "</p><div class=footer>All rights reserved by us</div></body>")
+    assert html_text.main_text(page)[0] == "\n".join(["word " * 39 + "word", "more " * 29 + "more"])
+
+
+@pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>x", "&", "<p title='", "</p></div>"])
+def test_broken_pages(page):
+    assert html_text.main_text(page)[0] in ("", "&", "<")
+
+
+def test_page_query(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, None), (2, None, "<p>" + "a b " * 50_000 + "</p>", 1)],
+        "page_id long, url string, html string, text int")
+    rows = {(r.page_id, r.n_chars) for r in html_text.extract_text(pages).collect()}
+    assert rows == {(1, len(html_text.main_text(PAGE)[0])), (None, 0), (2, 199_999)}
+    assert html_text.extract_text(pages.limit(0)).collect() == []
+
+
+# --- toxicity and quality ----------------------------------------------------------------------------
+
+def _accuracy(rows, labels, column):
+    known = {r.doc_id: r[column] for r in labels}
+    return [(known[r.doc_id], r.predicted, r.score) for r in rows if r.held_out and r.doc_id in known]
+
+
+@pytest.mark.parametrize("name, label, folds, held, least", [
+    ("op3_toxicity", "toxic", 3, 1, 0.93), ("op6_quality_classifier", "quality", 5, 0, 0.95)])
+def test_held_out_accuracy(spark, name, label, folds, held, least):
+    rows = catalog.QUERIES[name](spark, SMALL).collect()
+    assert len(rows) == 1000
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == held) for r in rows)
+    seen = _accuracy(rows, spark.read.parquet(f"{SMALL}/labels.parquet").collect(), label)
+    assert np.mean([y == p for y, p, _ in seen]) >= least
+    good = [s for y, _, s in seen if y == 1]
+    bad = [s for y, _, s in seen if y == 0]
+    assert np.mean(good) > np.mean(bad)
+
+
+@pytest.mark.parametrize("operator", [toxicity.toxicity, quality.quality])
+def test_classifiers_take_odd_rows(spark, operator):
+    docs = docs_of(spark, (1, "some text"), (1, "some text"), (2, None), (3, ""), (None, "x"), (4, "\n" * 3000),
+                   (5, "long " * 200_000)).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(1, None, None), (None, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = operator(docs, labels).collect()
+    assert len(rows) == 7
+    assert all(0 <= r.score <= 1 and (r.held_out is None) == (r.doc_id is None) for r in rows)
+    assert operator(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(0)
+    limits = np.array([0, 3, 4, 8, 12])
+    scores, moves = rng.normal(size=12), rng.normal(size=(2, 2))
+    good, moved, total = quality.marginals(scores, limits, moves)
+    for i in range(4):
+        own, z, share, steps = scores[limits[i]:limits[i + 1]], 0.0, 0.0, np.zeros((2, 2))
+        for states in itertools.product((0, 1), repeat=len(own)):
+            weight = np.exp(np.dot(states, own) + sum(moves[p] for p in zip(states, states[1:])))
+            z, share = z + weight, share + weight * np.array(states)
+            for pair in zip(states, states[1:]):
+                steps[pair] += weight
+        assert np.allclose(share / z, good[limits[i]:limits[i + 1]])
+        assert np.allclose(steps / z, moved[i]) and np.isclose(np.log(z), total[i])
+
+
+def test_dropping_toxic_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    kept = {r.doc_id for r in toxicity.without_toxic(docs, model).collect()}
+    assert kept == {r.doc_id for r in toxicity.score(docs, model).collect() if not r.predicted}
+
+
+# --- chats -------------------------------------------------------------------------------------------
+
+def _expected(turns):
+    every = "".join(f"{r}\n{t}\n" for r, t in turns)
+    learned = "".join(t for r, t in turns if r == "assistant")
+    return (len(turns), hashlib.sha256(every.encode()).hexdigest(), len(learned),
+            hashlib.sha256(learned.encode()).hexdigest())
+
+
+def test_chat_round_trip():
+    path, rng = catalog.vocabulary(), random.Random(7)
+    letters = ["<|end|>", "<|", "|>", "\\", "\\<|", "<|turn|>", "<\\|", "é", "\U0001f600", "漢", "\n", " ", "ab", "<", "|"]
+    for _ in range(150):
+        turns = [(rng.choice(["user", "assistant", "system", "<|text|>", ""]),
+                  "".join(rng.choices(letters, k=rng.randrange(9)))) for _ in range(rng.randrange(6))]
+        for size in (1, 1 << 20):
+            done = chat.format_turns(turns, path, size)
+            assert chat.read_back(done["formatted"]) == turns
+            got = chat.digest(done)
+            assert (got["n_turns"], got["turns_sha256"], got["loss_chars"], got["loss_sha256"]) == _expected(turns)
+            assert len(done["token_ids"]) == len(done["token_mask"])
+        assert np.array_equal(chat.format_turns(turns, path, 1)["token_ids"], done["token_ids"])
+
+
+def test_chat_query(spark):
+    rows = {r.conv_id: r for r in catalog.QUERIES["op7_chat_formatting"](spark, SMALL).collect()}
+    talks = {-7: [("user", catalog.ADDED_TEXT), ("assistant", catalog.ADDED_TEXT)]}
+    table = spark.read.parquet(f"{SMALL}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    for r in table:
+        talks.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert rows.keys() == talks.keys()
+    for key, turns in talks.items():
+        r = rows[key]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == _expected(turns)
+
+
+def test_chat_takes_odd_rows(spark):
+    talks = spark.createDataFrame(
+        [(1, 0, None, None, "x"), (1, 0, None, None, "x"), (1, None, "assistant", "first", "y"), (None, 1, "user", "a", "z")],
+        "conv_id long, turn long, role string, text string, formatted string")
+    rows = {r.conv_id: r for r in chat.chat_digests(talks, catalog.vocabulary()).collect()}
+    assert rows[1].n_turns == 3 and rows[1].loss_chars == 5 and rows[None].n_turns == 1
+    full = {r.conv_id: r for r in chat.format_chats(talks, catalog.vocabulary()).collect()}
+    assert full[1].formatted.startswith("<|turn|>assistant<|text|>first<|end|>")
+    assert chat.chat_digests(talks.limit(0), catalog.vocabulary()).collect() == []
+
+
+# --- secrets -----------------------------------------------------------------------------------------
+
+def _der(tag, content):
+    size = len(content)
+    length = bytes([size]) if size < 128 else bytes([0x82]) + size.to_bytes(2, "big")
+    return bytes([tag]) + length + content
+
+
+RSA = _der(0x30, _der(2, b"\0") + b"".join(_der(2, bytes([k]) * 40) for k in range(1, 9)))
+TOKEN = ".".join(base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+                 for x in ({"alg": "HS256", "typ": "JWT"}, {"sub": "1"})) + ".c2lnbmF0dXJl"
+
+
+def test_structures_are_confirmed():
+    text = base64.b64encode(RSA).decode()
+    assert secret_scan.is_private_key(RSA) and not secret_scan.is_private_key(RSA[:-1])
+    armoured = "\n".join(text[k:k + 64] for k in range(0, len(text), 64))
+    for shown in (text, armoured, RSA.hex(), RSA.hex().upper()):
+        spans = secret_scan.confirmed_spans(f"key {shown} end")
+        assert [(s, e, k) for s, e, k in spans] == [(4, 4 + len(shown), "der")]
+    broken = base64.b64encode(RSA[:20] + RSA[40:]).decode()
+    assert secret_scan.confirmed_spans(f"key {broken} end") == []
+    assert [k for _, _, k in secret_scan.confirmed_spans(f"é {TOKEN}")] == ["jwt"]
+    assert secret_scan.confirmed_spans("eyJhbGciOiJub25lIn0x.eyJ.x") == []
+
+
+def test_base_spans_equal_plain_patterns():
+    rng = random.Random(3)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "ApiKey", "=", ":", '"', "'", " ", "  ", "AKIA", "0f",
+             "deadbeef", "ABCDEF0123456789", "a" * 31, "b" * 32, "ſecret", "ÿ", "\n", "x/+_.-=", "ab12"]
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                        re.I | re.A)
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(14)))
+        plain = [(*m.span(), "assign") for m in assign.finditer(text) if len(m[2]) >= 8]
+        plain += [(*m.span(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        plain += [(*m.span(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        assert secret_scan.base_spans(text) == sorted(plain, key=lambda x: (x[0], secret_scan.KINDS.index(x[2])))
+
+
+def test_secret_query_and_redaction(spark):
+    text = "é password = hunter2hunter2, then " + TOKEN
+    docs = docs_of(spark, (1, text), (1, text), (2, None), (3, ""), (None, "plain")).withColumn("spans", F.lit(1))
+    rows = secret_scan.find_secrets(docs).collect()
+    assert [r.n_assign for r in rows] == [1, 1, 0, 0, 0]
+    assert rows[0].spans.startswith("assign:2:27,jwt:34:") and rows[2].spans == ""
+    assert rows[0].base_sha256 == hashlib.sha256(b"assign:2:27").hexdigest()
+    clean = secret_scan.redact_secrets(docs).collect()
+    assert clean[0].text == "é [SECRET], then [SECRET]" and clean[2].text is None and clean[4].text == "plain"
+    assert secret_scan.redact_secrets(docs).columns == docs.columns
+    assert secret_scan.find_secrets(docs.limit(0)).collect() == []

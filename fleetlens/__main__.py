@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.query import StreamingQuery
 
 from fleetlens import jobs, operators as ops, sources, streaming
 from fleetlens.plans import build_session
@@ -34,6 +35,8 @@ class Job:
     inputs: tuple[str, ...]
     run: Callable[..., DataFrame]
     mode: str = "append"  # output mode as a stream; "table" where it is for tables only, "stream" the reverse
+    #: Called with the inputs, the output path, the checkpoint and ``drain`` where a stream writes its own tables.
+    stream: Callable[..., StreamingQuery] | None = None
 
 
 def _timed(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
@@ -44,11 +47,6 @@ def _owners_of(measurements: DataFrame, valves: DataFrame, owners: DataFrame) ->
     return ops.with_owner(ops.vehicle_activity(measurements, valves), owners)
 
 
-def _complaints(reports: DataFrame, alerts: DataFrame) -> DataFrame:
-    run = jobs.customer_service_stream if reports.isStreaming else ops.potential_causes
-    return run(reports, alerts)
-
-
 def _complaints_sql(reports: DataFrame, alerts: DataFrame) -> DataFrame:
     ops.publish_reports(reports)
     ops.publish_alerts(alerts)
@@ -75,11 +73,12 @@ JOBS: dict[str, Job] = {
     "vehicle-activity": Job(("measurements", "valves"), ops.vehicle_activity),
     "vehicle-owner": Job(("measurements", "valves", "owners"), _owners_of),
     "stolen-vehicles": Job(("measurements", "valves", "owners"), jobs.stolen_vehicle_activity),
-    "dangerous-valves": Job(("measurements", "valves"), jobs.pattern_alerts),
-    "customer-service": Job(("reports", "measurements", "valves"), jobs.customer_service, "table"),
+    "dangerous-valves": Job(("measurements", "valves"), jobs.pattern_alerts, stream=jobs.pattern_alerts_stream),
+    "customer-service": Job(
+        ("reports", "measurements", "valves"), jobs.customer_service, stream=jobs.customer_service_stream),
     "customer-service-sql": Job(("reports", "measurements", "valves"), jobs.customer_service_sql, "table"),
     "customer-service-lookup": Job(("reports", "measurements", "valves"), jobs.customer_service_lookup, "table"),
-    "match-complaints": Job(("reports", "alerts"), _complaints),
+    "match-complaints": Job(("reports", "alerts"), ops.potential_causes, stream=jobs.complaints_stream),
     "match-complaints-sql": Job(("reports", "alerts"), _complaints_sql),
     "latest-per-vehicle": Job(("reports", "alerts"), ops.latest_per_vehicle, "update"),
     "edit-bytes": Job(("edits",), _timed(ops.edit_bytes_per_user)),
@@ -116,14 +115,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.stream and job.mode == "table" or not args.stream and job.mode == "stream":
         raise SystemExit(f"{args.job} is for {job.mode}s only")
     spark = spark or build_session(f"fleetlens {args.job}")
-    result = job.run(*[_load(spark, name, args) for name in job.inputs])
+    inputs = [_load(spark, name, args) for name in job.inputs]
+    checkpoint = args.checkpoint or f"{shared_dir(spark)}/fleetlens/{args.job}"
+    if args.stream and job.stream:
+        if not args.out:
+            raise SystemExit(f"{args.job} as a stream needs --out, the folder of its tables")
+        job.stream(*inputs, args.out, checkpoint, args.drain).awaitTermination()
+        return
+    result = job.run(*inputs)
     if not args.stream:
         if args.out:
             result.write.mode("overwrite").parquet(args.out)
         else:
             streaming.print_table(result)
         return
-    checkpoint = args.checkpoint or f"{shared_dir(spark)}/fleetlens/{args.job}"
     if job.mode == "append":
         query = (streaming.write_append(result, args.out, checkpoint, args.drain) if args.out
                  else streaming.print_stream(result, checkpoint, drain=args.drain))

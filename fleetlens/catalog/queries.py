@@ -12,9 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetlens import jobs, operators as ops
-from fleetlens.functions import owner_name
 from fleetlens.schemas import SENSOR_REFERENCE
-from fleetlens.sources import owner_dimension, shared_tables as tables
+from fleetlens.sources import shared_tables as tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,11 +25,7 @@ FORCED_SLICE_ROWS = 60
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Timestamps without zone, as in the SQL twins, and means at float precision.
-
-    A mean that falls exactly between two rounded decimals would round either way with the order of
-    summation; float precision has no such ties for these data.
-    """
+    """Timestamps without zone, as in the SQL twins."""
     def plain(field: T.StructField) -> Column:
         if isinstance(field.dataType, T.TimestampType):
             return F.col(field.name).cast("timestamp_ntz").alias(field.name)
@@ -38,8 +33,12 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
-def coarse(*names: str) -> dict[str, Column]:
-    return {n: F.col(n).cast("float").cast("double") for n in names}
+def rounded(*names: str) -> dict[str, Column]:
+    """Means to six decimals, as sums differ in their last bits with the order of summation.
+
+    The small addend, the same in the SQL twins, keeps means that end in a five off the rounding edge.
+    """
+    return {n: F.round(F.col(n) + 1e-9, 6) for n in names}
 
 
 def query(fn: Query) -> Query:
@@ -71,12 +70,12 @@ def word_count_changelog(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def to_fahrenheit(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.to_fahrenheit(_readings(spark, folder)).withColumns(coarse("value"))
+    return ops.to_fahrenheit(_readings(spark, folder))
 
 
 @query
 def fahrenheit_and_celsius(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.fahrenheit_and_celsius(_readings(spark, folder)).withColumns(coarse("value"))
+    return ops.fahrenheit_and_celsius(_readings(spark, folder))
 
 
 @query
@@ -141,50 +140,50 @@ def latest_changelog(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def running_mean(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.running_mean(_readings(spark, folder)).withColumns(coarse("mean"))
+    return ops.running_mean(_readings(spark, folder)).withColumns(rounded("mean"))
 
 
 @query
 def running_mean_sliced(spark: SparkSession, folder: str) -> DataFrame:
     return ops.running_mean(
-        _readings(spark, folder), rows_per_slice=FORCED_SLICE_ROWS).withColumns(coarse("mean"))
+        _readings(spark, folder), rows_per_slice=FORCED_SLICE_ROWS).withColumns(rounded("mean"))
 
 
 @query
 def running_mean_every_third(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.running_mean(_readings(spark, folder), every=3).withColumns(coarse("mean"))
+    return ops.running_mean(_readings(spark, folder), every=3).withColumns(rounded("mean"))
 
 
 @query
 def running_mean_all_sensors(spark: SparkSession, folder: str) -> DataFrame:
     return ops.running_mean(
-        _readings(spark, folder), compat=True, rows_per_slice=1_000).withColumns(coarse("mean"))
+        _readings(spark, folder), compat=True, rows_per_slice=1_000).withColumns(rounded("mean"))
 
 
 # --- windows ---------------------------------------------------------------------------------------
 
 @query
 def sliding_mean(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.sliding_mean(_readings(spark, folder), "2 days", "1 day").withColumns(coarse("mean"))
+    return ops.sliding_mean(_readings(spark, folder), "2 days", "1 day").withColumns(rounded("mean"))
 
 
 @query
 def sensor_deviation(spark: SparkSession, folder: str) -> DataFrame:
     tagged = tables.as_tagged(tables.events(spark, folder))
-    return ops.sensor_deviation(tagged, "3 days").withColumns(coarse("value"))
+    return ops.sensor_deviation(tagged, "3 days").withColumns(rounded("value"))
 
 
 @query
 def sensor_deviation_compat(spark: SparkSession, folder: str) -> DataFrame:
     tagged = tables.as_tagged(tables.events(spark, folder))
-    return ops.sensor_deviation(tagged, "3 days", compat=True).withColumns(coarse("value"))
+    return ops.sensor_deviation(tagged, "3 days", compat=True).withColumns(rounded("value"))
 
 
 @query
 def valve_performance(spark: SparkSession, folder: str) -> DataFrame:
     stacked = tables.as_stacked(tables.events(spark, folder))
     return ops.valve_performance(stacked, "5 days").withColumns(
-        coarse("pct_open", "pct_closed", "pct_obstructed", "mean_temperature"))
+        rounded("pct_open", "pct_closed", "pct_obstructed", "mean_temperature"))
 
 
 @query
@@ -237,14 +236,15 @@ def stolen_vehicles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def owner_names(spark: SparkSession, folder: str) -> DataFrame:
-    vehicles = tables.table(spark, folder, "customer").select(F.col("c_custkey").alias("vehicle_id"))
-    return owner_dimension(vehicles, stolen=F.col("vehicle_id") % 20 == 0)
+    return tables.owners(spark, folder)
 
 
 @query
 def with_owner_name(spark: SparkSession, folder: str) -> DataFrame:
-    reports = tables.as_reports(tables.events(spark, folder))
-    return reports.withColumn("customer_name", owner_name("vehicle_id"))
+    """Reports under the owner's name from the owner table; NULL without an owner."""
+    reports = tables.as_reports(tables.events(spark, folder)).drop("customer_name")
+    names = tables.owners(spark, folder).select("vehicle_id", F.col("owner_name").alias("customer_name"))
+    return reports.join(names, "vehicle_id", "left")
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from fleetlens.functions import FIRST_NAMES, LAST_NAMES
 
 _STATE = """CASE WHEN event_type IN ('view', 'click') THEN 'OPEN'
                  WHEN event_type IN ('signup', 'purchase') THEN 'CLOSE' ELSE 'OBSTRUCTED' END"""
@@ -16,8 +15,8 @@ def _start(width: int, shift: str = "0") -> str:
     return f"make_timestamp((epoch_us(ts) // {width} - {shift}) * {width})"
 
 
-def _coarse(expression: str) -> str:
-    return f"CAST(CAST({expression} AS FLOAT) AS DOUBLE)"
+def _rounded(expression: str) -> str:
+    return f"round(({expression}) + 1e-9::DOUBLE, 6)"
 
 
 SQL: dict[str, str] = {}
@@ -36,11 +35,11 @@ placed AS (SELECT seq, unnest(words) AS word, generate_subscripts(words, 1) - 1
 SELECT seq, pos, word, row_number() OVER (PARTITION BY word ORDER BY seq, pos) AS count FROM placed
 """
 SQL["to_fahrenheit"] = f"""
-SELECT ts, sensor_id, 'FAHRENHEIT' AS units, {_coarse('value * 1.8::DOUBLE + 32.0::DOUBLE')} AS value, seq
+SELECT ts, sensor_id, 'FAHRENHEIT' AS units, value * 1.8::DOUBLE + 32.0::DOUBLE AS value, seq
 FROM ({_READING})
 """
 SQL["fahrenheit_and_celsius"] = f"""
-SELECT ts, sensor_id, units, {_coarse('value')} AS value, seq FROM ({_READING})
+SELECT ts, sensor_id, units, value, seq FROM ({_READING})
 UNION ALL {SQL['to_fahrenheit']}
 """
 SQL["heat_alerts"] = f"SELECT ts, sensor_id, units, value, 2 AS level, seq FROM ({_READING}) WHERE value > 150"
@@ -86,7 +85,7 @@ SQL["latest_changelog"] = _changelog(_READING, "ts", "-seq")
 def _running(partition: str, extra: str = "") -> str:
     over = f"OVER ({partition} ORDER BY seq ROWS UNBOUNDED PRECEDING)"
     return f"""
-SELECT seq, sensor_id, last_ts AS ts, {_coarse('total / n')} AS mean
+SELECT seq, sensor_id, last_ts AS ts, {_rounded('total / n')} AS mean
 FROM (SELECT *, max(ts) {over} AS last_ts, sum(value) {over} AS total, count(*) {over} AS n
       FROM ({_READING})) {extra}
 """
@@ -98,7 +97,7 @@ SQL["running_mean_every_third"] = _running("PARTITION BY sensor_id", "WHERE n %
 SQL["running_mean_all_sensors"] = _running("")
 
 SQL["sliding_mean"] = f"""
-SELECT user_id AS sensor_id, max(ts) AS ts, {_coarse('avg(value)')} AS mean,
+SELECT user_id AS sensor_id, max(ts) AS ts, {_rounded('avg(value)')} AS mean,
        window_start, window_start + INTERVAL 2 DAY AS window_end
 FROM (SELECT *, {_start(_DAY)} AS window_start FROM events
       UNION ALL SELECT *, {_start(_DAY, '1')} FROM events)
@@ -109,7 +108,7 @@ GROUP BY user_id, window_start
 def _deviation(first: str) -> str:
     return f"""
 SELECT window_start + INTERVAL 3 DAY AS ts, sensor_id, 'SENSOR DIFF CELSIUS' AS units,
-       {_coarse('deviation')} AS value, 2 AS level
+       {_rounded('deviation')} AS value, 2 AS level
 FROM (SELECT user_id AS sensor_id, {_start(3 * _DAY)} AS window_start,
              abs({first} - avg(value) FILTER (event_id % 2 = 1)) AS deviation
       FROM events GROUP BY ALL)
@@ -130,8 +129,8 @@ WITH grouped AS (
            avg(value) FILTER (event_id % 2 = 0) AS mean_temperature
     FROM events GROUP BY ALL)
 SELECT sensor_id, window_start, window_start + INTERVAL 5 DAY AS window_end,
-       {_coarse('opened / states')} AS pct_open, {_coarse('closed / states')} AS pct_closed,
-       {_coarse('obstructed / states')} AS pct_obstructed, {_coarse('mean_temperature')} AS mean_temperature
+       {_rounded('opened / states')} AS pct_open, {_rounded('closed / states')} AS pct_closed,
+       {_rounded('obstructed / states')} AS pct_obstructed, {_rounded('mean_temperature')} AS mean_temperature
 FROM grouped WHERE states > 0 AND readings > 0
 """
 SQL["edit_bytes_per_user"] = f"""
@@ -174,18 +173,8 @@ SELECT vehicle_id, ts, owner_name, reported_stolen FROM ({SQL['with_owner']}) WH
 """
 
 
-def _names(names: tuple[str, ...], vehicle: str) -> str:
-    return f"([{', '.join(repr(n) for n in names)}])[{vehicle} % {len(names)} + 1]"
-
-
-def _owner_name(vehicle: str) -> str:
-    return f"{_names(FIRST_NAMES, vehicle)} || ' ' || {_names(LAST_NAMES, vehicle)}"
-
-
-SQL["owner_names"] = f"""
-SELECT DISTINCT c_custkey AS vehicle_id, {_owner_name('c_custkey')} AS owner_name,
-       c_custkey % 20 = 0 AS reported_stolen
-FROM customer
+SQL["owner_names"] = """
+SELECT c_custkey AS vehicle_id, c_name AS owner_name, c_custkey % 5 = 0 AS reported_stolen FROM customer
 """
 _REPORTS = """
 SELECT ts, user_id // 10 AS vehicle_id, 'user ' || user_id AS customer_name,
@@ -194,7 +183,8 @@ SELECT ts, user_id // 10 AS vehicle_id, 'user ' || user_id AS customer_name,
 FROM events
 """
 SQL["with_owner_name"] = f"""
-SELECT ts, vehicle_id, {_owner_name('vehicle_id')} AS customer_name, value, seq FROM ({_REPORTS})
+SELECT r.ts, r.vehicle_id, c.c_name AS customer_name, r.value, r.seq
+FROM ({_REPORTS}) r LEFT JOIN customer c ON c.c_custkey = r.vehicle_id
 """
 SQL["with_sensor_reference"] = f"""
 SELECT r.*, s.s_acctbal AS lon, CAST(s.s_nationkey AS DOUBLE) AS lat, s.s_name AS important_metadata,

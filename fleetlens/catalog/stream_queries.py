@@ -1,7 +1,7 @@
 """The stream forms of the analyses, replayed over the shared test tables.
 
 Each query drains the input into a table below the shared checkpoint folder and returns that table.  In
-append mode only windows that the watermark has passed are there, and the SQL twins say so.
+append mode the input is then closed (:mod:`fleetlens.streaming.closing`), so the last windows are there too.
 """
 
 from __future__ import annotations
@@ -11,10 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens import operators as ops
-from fleetlens import streaming
+from fleetlens import jobs, operators as ops, streaming
 from fleetlens.catalog import sql
-from fleetlens.catalog.queries import HOT, PAIR_REACH, PAIR_WINDOW, VEHICLE, Query, coarse, finish
+from fleetlens.catalog.queries import HOT, PAIR_REACH, PAIR_WINDOW, VEHICLE, Query, rounded, finish
 from fleetlens.plans.session import settings, shared_dir
 from fleetlens.sources import shared_tables as tables, with_event_time, with_processing_time
 
@@ -52,12 +51,16 @@ def _timed(spark: SparkSession, folder: str) -> DataFrame:
     return with_event_time(_events(spark, folder))
 
 
-# What the watermark has passed after the last record: 3.5 s before it, in whole milliseconds.
-_PASSED = "(SELECT make_timestamp((epoch_us(max(ts)) // 1000 - 3500) * 1000) FROM events)"
-
-
-def _closed(twin: str, end: str = "window_end") -> str:
-    return f"SELECT * FROM ({twin}) WHERE {end} <= {_PASSED}"
+def _closed(spark: SparkSession, folder: str, path: str, start: Callable[[DataFrame], object]) -> None:
+    """Drain the events with ``start``, then close them; the closing records are of user -1."""
+    events, closing = tables.events(spark, folder), f"{path}-closing"
+    streaming.open_closing(spark, events.schema, closing)
+    start(streaming.with_closing(_events(spark, folder), closing))
+    last = events.agg(F.max("ts")).first()[0]
+    for number in (-1, -2):  # one that passes for a primary reading, one for a secondary one
+        streaming.write_closing(spark, events.schema, closing, last, event_id=number, user_id=-1, event_type="view",
+                                value=0.0, props="")
+    start(streaming.with_closing(_events(spark, folder), closing))
 
 
 @stream_query(sql.SQL["heat_alerts"])
@@ -90,18 +93,21 @@ def stream_max_reading_first(spark: SparkSession, folder: str, path: str, checkp
 
 
 @stream_query(
-    f"SELECT user_id AS sensor_id, max(ts) AS ts, {sql._coarse('avg(value)')} AS mean FROM events GROUP BY user_id")
+    f"SELECT user_id AS sensor_id, max(ts) AS ts, {sql._rounded('avg(value)')} AS mean FROM events GROUP BY user_id")
 def stream_running_mean(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
     means = ops.running_mean(tables.as_measurements(_events(spark, folder)))
     streaming.write_updates(means, path, checkpoint, drain=True)
-    return streaming.read_current(spark, path, ["sensor_id"]).withColumns(coarse("mean"))
+    return streaming.read_current(spark, path, ["sensor_id"]).withColumns(rounded("mean"))
 
 
-@stream_query(_closed(sql.SQL["sliding_mean"]))
+@stream_query(sql.SQL["sliding_mean"])
 def stream_sliding_mean(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    means = ops.sliding_mean(tables.as_measurements(_timed(spark, folder)), "2 days", "1 day")
-    streaming.write_append(means, path, checkpoint, drain=True)
-    return spark.read.parquet(path).withColumns(coarse("mean"))
+    def start(raw: DataFrame) -> None:
+        means = ops.sliding_mean(tables.as_measurements(with_event_time(raw)), "2 days", "1 day")
+        streaming.write_append(means, path, checkpoint, drain=True)
+
+    _closed(spark, folder, path, start)
+    return spark.read.parquet(path).withColumns(rounded("mean"))
 
 
 @stream_query(
@@ -112,30 +118,37 @@ def stream_sliding_mean_processing_time(spark: SparkSession, folder: str, path:
     means = ops.sliding_mean(clocked, "10 seconds", "5 seconds", time="pt")
     streaming.write_updates(means, path, checkpoint, drain=True)
     current = streaming.read_current(spark, path, ["sensor_id", "window_start", "window_end"])
-    return current.select("sensor_id", "ts", "mean").withColumns(coarse("mean"))
+    return current.select("sensor_id", "ts", "mean").withColumns(rounded("mean"))
 
 
-@stream_query(_closed(sql.SQL["sensor_deviation"], "ts"))
+@stream_query(sql.SQL["sensor_deviation"])
 def stream_sensor_deviation(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    raw = _events(spark, folder)
-    tagged = with_event_time(ops.tag_readings(tables.primary(raw), tables.secondary(raw)))
-    streaming.write_append(ops.sensor_deviation(tagged, "3 days"), path, checkpoint, drain=True)
-    return spark.read.parquet(path).withColumns(coarse("value"))
+    def start(raw: DataFrame) -> None:
+        tagged = with_event_time(ops.tag_readings(tables.primary(raw), tables.secondary(raw)))
+        streaming.write_append(ops.sensor_deviation(tagged, "3 days"), path, checkpoint, drain=True)
+
+    _closed(spark, folder, path, start)
+    return spark.read.parquet(path).withColumns(rounded("value"))
 
 
-@stream_query(_closed(sql.SQL["valve_performance"]))
+@stream_query(sql.SQL["valve_performance"])
 def stream_valve_performance(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    raw = _events(spark, folder)
-    stacked = with_event_time(ops.stack_observations(tables.primary(raw), tables.valve_states(raw)))
-    streaming.write_append(ops.valve_performance(stacked, "5 days"), path, checkpoint, drain=True)
+    def start(raw: DataFrame) -> None:
+        stacked = with_event_time(ops.stack_observations(tables.primary(raw), tables.valve_states(raw)))
+        streaming.write_append(ops.valve_performance(stacked, "5 days"), path, checkpoint, drain=True)
+
+    _closed(spark, folder, path, start)
     return spark.read.parquet(path).withColumns(
-        coarse("pct_open", "pct_closed", "pct_obstructed", "mean_temperature"))
+        rounded("pct_open", "pct_closed", "pct_obstructed", "mean_temperature"))
 
 
-@stream_query(_closed(sql.SQL["edit_bytes_per_user"]))
+@stream_query(sql.SQL["edit_bytes_per_user"])
 def stream_edit_bytes_per_user(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    edits = tables.as_edits(_timed(spark, folder))
-    streaming.write_append(ops.edit_bytes_per_user(edits, "1 day"), path, checkpoint, drain=True)
+    def start(raw: DataFrame) -> None:
+        edits = tables.as_edits(with_event_time(raw))
+        streaming.write_append(ops.edit_bytes_per_user(edits, "1 day"), path, checkpoint, drain=True)
+
+    _closed(spark, folder, path, start)
     return spark.read.parquet(path)
 
 
@@ -169,12 +182,32 @@ def stream_stolen_vehicles(spark: SparkSession, folder: str, path: str, checkpoi
     return spark.read.parquet(path).select("vehicle_id", "ts", "owner.*")
 
 
-@stream_query(sql._valves(f"SELECT * FROM ({sql._OBSERVED}) WHERE ts <= {_PASSED}", 60, 5))
+@stream_query(sql.SQL["dangerous_valves"])
 def stream_dangerous_valves(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    observed = tables.as_observed(_timed(spark, folder))
-    alerts = streaming.dangerous_valves_stream(observed, heat_above=HOT)
-    streaming.write_append(alerts, path, checkpoint, drain=True)
-    return spark.read.parquet(path)
+    _closed(spark, folder, path, lambda raw: streaming.match_patterns_in_batches(
+        tables.as_observed(raw), path, checkpoint, heat_above=HOT, drain=True))
+    return streaming.read_pattern_alerts(spark, path)
+
+
+def _chain(spark: SparkSession, folder: str, path: str, checkpoint: str) -> None:
+    """Readings with states, pattern, complaints, as one stream."""
+    _closed(spark, folder, path, lambda raw: jobs.customer_service_stream(
+        tables.as_reports(raw), tables.primary(raw), tables.valve_states(raw), path, checkpoint, True, "2 days",
+        VEHICLE, {"size": PAIR_WINDOW, "within": PAIR_REACH}, {"min_times": 2, "heat_above": HOT}))
+
+
+@stream_query(sql.SQL["pattern_alerts"])
+def stream_pattern_alerts(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _closed(spark, folder, path, lambda raw: jobs.pattern_alerts_stream(
+        tables.primary(raw), tables.valve_states(raw), path, checkpoint, True,
+        {"size": PAIR_WINDOW, "within": PAIR_REACH}, {"min_times": 2, "heat_above": HOT}))
+    return streaming.read_pattern_alerts(spark, path)
+
+
+@stream_query(sql.SQL["customer_service"])
+def stream_customer_service(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _chain(spark, folder, path, checkpoint)
+    return streaming.read_causes(spark, path)
 
 
 def _reports_and_alerts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -184,9 +217,9 @@ def _reports_and_alerts(spark: SparkSession, folder: str) -> tuple[DataFrame, Da
 
 @stream_query(sql.SQL["potential_causes"])
 def stream_potential_causes(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    causes = streaming.potential_causes_stream(*_reports_and_alerts(spark, folder), "2 days", VEHICLE)
-    streaming.write_append(causes, path, checkpoint, drain=True)
-    return spark.read.parquet(path)
+    streaming.match_causes_in_batches(
+        *_reports_and_alerts(spark, folder), path, checkpoint, "2 days", VEHICLE, drain=True)
+    return streaming.read_causes(spark, path)
 
 
 @stream_query(sql.SQL["potential_causes_sql"])
@@ -214,7 +247,9 @@ def stream_latest_per_vehicle(spark: SparkSession, folder: str, path: str, check
 SELECT vehicle_id, alert_ts AS ts, sensor_id, units, alert_value, level
 FROM (%s) WHERE alert_ts IS NOT NULL""" % sql.SQL["latest_per_vehicle"])
 def stream_alert_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
-    """The last alert of each vehicle, read from the state of the complaint matching query."""
-    causes = streaming.potential_causes_stream(*_reports_and_alerts(spark, folder), "2 days", VEHICLE)
-    streaming.write_append(causes, path, checkpoint, drain=True)
-    return streaming.read_keyed_state(spark, checkpoint, "alerts")
+    """The last alert of each vehicle, read from the state table of the complaint matching query."""
+    streaming.match_causes_in_batches(
+        *_reports_and_alerts(spark, folder), path, checkpoint, "2 days", VEHICLE, drain=True)
+    return streaming.read_causes_state(spark, path).where("alert IS NOT NULL").select(
+        "vehicle_id", "alert.ts", "alert.sensor_id", "alert.units", F.col("alert.value").alias("alert_value"),
+        "alert.level")

@@ -1,12 +1,10 @@
 """Column expressions shared by the operators; all of them run inside the JVM."""
 
 from fleetlens.functions.expressions import (
-    FIRST_NAMES, LAST_NAMES, fahrenheit, floor_div, interval_micros, is_complaint, micros, owner_name,
-    split_words, tokens,
-    vehicle_of, whole,
+    fahrenheit, floor_div, interval_micros, is_complaint, micros, split_words, tokens, vehicle_of, whole,
 )
 
 __all__ = [
-    "FIRST_NAMES", "LAST_NAMES", "fahrenheit", "floor_div", "interval_micros", "is_complaint", "micros", "owner_name",
-    "split_words", "tokens", "vehicle_of", "whole",
+    "fahrenheit", "floor_div", "interval_micros", "is_complaint", "micros", "split_words", "tokens", "vehicle_of",
+    "whole",
 ]

@@ -6,18 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from fleetlens.schemas import COMPLAINTS, SENSORS_PER_VEHICLE
 
-# The owner lookup gives vehicle v the v-th first name and the v-th last name, modulo 30.
-FIRST_NAMES = (
-    "Romeo", "Blake", "Aarav", "Cillian", "Lorenzo", "Aleksander", "Vincent", "Ted", "Elliot", "Ralphy",
-    "Melissa", "Dolly", "Fern", "Hollie", "Evie", "Nancy", "Daniella", "Olivia-Rose", "Delilah", "Norah",
-    "Jo", "Skylar", "Ali", "Kit", "Jackie", "Glenn", "Kai", "Alex", "Charlie", "Reggie",
-)
-LAST_NAMES = (
-    "Harvey", "Baker", "Saunders", "Green", "Houghton", "Kennedy", "Russell", "Wood", "Cole", "Kennedy",
-    "Berry", "Day", "Mitchell", "Jackson", "Chambers", "Robertson", "Matthews", "Bailey", "Reynolds",
-    "Lloyd", "Johnston", "Lloyd", "Bates", "Ward", "Hunter", "Harper", "Austin", "Kennedyv", "Fletcher",
-    "Bates",
-)
 
 _UNIT_MICROS = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -73,14 +61,3 @@ def tokens(text: Column | str) -> Column:
 
 def is_complaint(report_value: Column | str) -> Column:
     return _column(report_value).isin(*COMPLAINTS)
-
-
-def owner_name(vehicle_id: Column | str) -> Column:
-    """Name the owner lookup returns for a vehicle."""
-    vehicle = _column(vehicle_id)
-
-    def pick(names: tuple[str, ...]) -> Column:
-        index = (vehicle % F.lit(len(names))).cast("int")
-        return F.get(F.array(*[F.lit(name) for name in names]), index)
-
-    return F.concat(pick(FIRST_NAMES), F.lit(" "), pick(LAST_NAMES))

@@ -10,12 +10,13 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming.query import StreamingQuery
 
 from fleetlens import operators as ops
 from fleetlens.plans import settle
 from fleetlens.schemas import SENSORS_PER_VEHICLE
 from fleetlens.sources import with_event_time
-from fleetlens.streaming import dangerous_valves_stream, potential_causes_stream
+from fleetlens.streaming import match_causes_in_batches, match_complaints_with_patterns, match_patterns_in_batches
 
 # The pattern jobs pair a reading with states up to 200 ms before it, in windows of 2 s.
 PATTERN_PAIRS = {"size": "2 seconds", "within": "200 milliseconds"}
@@ -46,16 +47,28 @@ def stolen_vehicle_activity(
     return ops.stolen_vehicles(ops.with_owner(activity, owners))
 
 
+def _paired(measurements: DataFrame, valve_states: DataFrame, pairs: dict[str, str] | None) -> DataFrame:
+    """Readings with the valve states before them, with the columns that the pattern looks at."""
+    paired = ops.state_at_reading(
+        with_event_time(measurements), with_event_time(valve_states), **(pairs or PATTERN_PAIRS))
+    return paired.select("ts", "sensor_id", "value", "state", "seq", "state_seq")
+
+
 def pattern_alerts(
     measurements: DataFrame, valve_states: DataFrame, pairs: dict[str, str] | None = None,
     pattern: dict[str, Any] | None = None,
 ) -> DataFrame:
-    """(stream) Level 5 alerts of valves that stop opening and then heat up."""
-    paired = ops.state_at_reading(
-        with_event_time(measurements), with_event_time(valve_states), **(pairs or PATTERN_PAIRS))
-    if paired.isStreaming:
-        return dangerous_valves_stream(paired, **(pattern or {}))
-    return ops.dangerous_valves(settle(paired), **(pattern or {}))
+    """Level 5 alerts of valves that stop opening and then heat up."""
+    return ops.dangerous_valves(settle(_paired(measurements, valve_states, pairs)), **(pattern or {}))
+
+
+def pattern_alerts_stream(
+    measurements: DataFrame, valve_states: DataFrame, path: str, checkpoint: str, drain: bool = False,
+    pairs: dict[str, str] | None = None, pattern: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """(stream) The same into tables below ``path``."""
+    return match_patterns_in_batches(
+        _paired(measurements, valve_states, pairs), path, checkpoint, drain=drain, **(pattern or {}))
 
 
 def customer_service(
@@ -68,9 +81,22 @@ def customer_service(
     return ops.potential_causes(reports, alerts, within, sensors_per_vehicle)
 
 
-def customer_service_stream(reports: DataFrame, alerts: DataFrame, within: str = "2 hours") -> DataFrame:
-    """(stream) The same from streams; ``alerts`` is the written result of :func:`pattern_alerts`."""
-    return potential_causes_stream(reports, alerts, within)
+def customer_service_stream(
+    reports: DataFrame, measurements: DataFrame, valve_states: DataFrame, path: str, checkpoint: str,
+    drain: bool = False, within: str = "2 hours", sensors_per_vehicle: int = SENSORS_PER_VEHICLE,
+    pairs: dict[str, str] | None = None, pattern: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """(stream) The whole chain as one query; pairs, alerts and state per vehicle are tables below ``path``."""
+    return match_complaints_with_patterns(
+        reports, _paired(measurements, valve_states, pairs), path, checkpoint, within, sensors_per_vehicle,
+        drain=drain, **(pattern or {}))
+
+
+def complaints_stream(
+    reports: DataFrame, alerts: DataFrame, path: str, checkpoint: str, drain: bool = False,
+) -> StreamingQuery:
+    """(stream) Complaints matched with given alerts."""
+    return match_causes_in_batches(reports, alerts, path, checkpoint, drain=drain)
 
 
 def customer_service_sql(

@@ -23,10 +23,12 @@ def _rank(rule: str) -> list[Column]:
     """What to maximise: the record with the greatest rank wins."""
     if rule == "latest":
         return [F.col("ts"), -F.col("seq")]
+    # NaN is no reading: it ranks with NULL, below every number.
+    value = F.nanvl("value", F.lit(None).cast("double"))
     if rule == "max_last":
-        return [F.col("value"), F.col("seq")]
+        return [value, F.col("seq")]
     if rule == "max_first":
-        return [F.col("value"), -F.col("seq")]
+        return [value, -F.col("seq")]
     raise ValueError(f"unknown rule {rule!r}")
 
 
@@ -100,6 +102,8 @@ def running_mean(
         return only_sensor(grouped, sensor_id)
 
     source = measurements.select("ts", "sensor_id", "value", "seq")
+    if not compat:
+        source = only_sensor(source, sensor_id)
     scanned = ordered_scan(
         source, [] if compat else ["sensor_id"], ["seq"],
         local=lambda w: [{
@@ -117,10 +121,10 @@ def running_mean(
         slices=slices, rows_per_slice=rows_per_slice,
     )
     count = F.col("_n") + F.coalesce("_pn", F.lit(0))
-    total = F.col("_sum") + F.coalesce("_psum", F.lit(0.0))
+    total = F.coalesce("_sum", F.lit(0.0)) + F.coalesce("_psum", F.lit(0.0))
     result = scanned.where(count % every == 0) if every != 1 else scanned
     return only_sensor(
         result.select("seq", "sensor_id", F.greatest("_last", "_plast").alias("ts"),
-                      (total / count).alias("mean")),
+                      F.when(count > 0, total / count).alias("mean")),
         sensor_id,
     )

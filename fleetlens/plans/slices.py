@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 from fleetlens.functions import micros
 
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 16_384
+MAX_SLICES = 262_144  # 10**12 rows at the size above
 MAX_LISTED_KEYS = 1_000  # with more large keys than this, all keys are sliced
 _SUB = 1 << 16  # room for the sub-slices of one instant
 
@@ -40,12 +40,14 @@ _SUB = 1 << 16  # room for the sub-slices of one instant
 @dataclass(frozen=True)
 class Slices:
     """Constant limits in the first ordering column (times in microseconds), and limits in the second
-    one inside busy instants; they apply to the ``listed`` values of column ``key``, or to all rows."""
+    one inside busy instants; they apply to the ``listed`` values of column ``key`` (and to NULL with
+    ``listed_null``), or to all rows."""
 
     times: tuple[int, ...] = ()
     busy: dict[int, tuple[int, ...]] = field(default_factory=dict)
     key: str | None = None
     listed: tuple[Any, ...] = ()
+    listed_null: bool = False
 
     @property
     def single(self) -> bool:
@@ -75,11 +77,16 @@ class Slices:
             below = F.size(F.filter(F.element_at(limits, place), lambda limit: limit <= F.col(order[1])))
             part = part + F.when(place.isin(*self.busy), below).otherwise(0)
         if self.key:
-            part = F.when(F.col(self.key).isin(*self.listed), part)
+            part = F.when(_listed(self.key, self.listed, self.listed_null), part)
         # never NULL, so that a join on it adds no filter and both its sides can share one shuffle
         return cut.withColumn("slice", F.coalesce(part, F.lit(0))).drop("_us", "_cut")
 
 
+def _listed(key: str, listed: Sequence[Any], null: bool) -> Column:
+    known = F.coalesce(F.col(key).isin(*listed), F.lit(False)) if listed else F.lit(False)
+    return known | F.col(key).isNull() if null else known
+
+
 def _place(df: DataFrame, column: str) -> Column:
     """An ordering column as a long."""
     is_time = isinstance(df.schema[column].dataType, T.TimestampType)
@@ -104,11 +111,12 @@ def plan_slices(
     )
     if not large:
         return Slices()
-    key, listed, affected = None, (), df
+    key, listed, null, affected = None, (), False, df
     if len(keys) == 1 and len(large) <= MAX_LISTED_KEYS:
         key = keys[0]
         listed = tuple(row[key] for row in large if row[key] is not None)
-        affected = df.where(F.col(key).isin(*listed))
+        null = any(row[key] is None for row in large)
+        affected = df.where(_listed(key, listed, null))
         total = sum(row["_rows"] for row in large)
     else:
         total = df.count() if keys else large[0]["_rows"]
@@ -132,7 +140,7 @@ def plan_slices(
         for row in rows:
             step = max(1, most // repeated[row["us"]])
             busy[row["us"]] = tuple(sorted(set(row["limits"][::step])))
-    return Slices(tuple(times), busy, key, listed)
+    return Slices(tuple(times), busy, key, listed, null)
 
 
 def ordered_scan(
@@ -162,11 +170,16 @@ def ordered_scan(
         rows = _apply(df, local(Window.partitionBy(*keys).orderBy(*ordering)))
         return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in carried.fields})
 
-    groups = [*keys, "slice"]
-    rows = _apply(slices.assign(df, order), local(Window.partitionBy(*groups).orderBy(*ordering)))
+    # A struct is never NULL, even if its fields are, so rows of a NULL key meet their totals in the join.
+    whole = ["_key"] if keys else []
+    groups = [*whole, "slice"]
+    placed = slices.assign(df, order)
+    if keys:
+        placed = placed.withColumn("_key", F.struct(*keys))
+    rows = _apply(placed, local(Window.partitionBy(*groups).orderBy(*ordering)))
     per_slice = rows.groupBy(*groups).agg(*[c.alias(name) for name, c in totals.items()])
-    handed = _apply(per_slice, inherit(Window.partitionBy(*keys).orderBy(turn("slice"))))
-    return rows.join(handed.select(*groups, *carried.names), groups).drop("slice")
+    handed = _apply(per_slice, inherit(Window.partitionBy(*whole).orderBy(turn("slice"))))
+    return rows.join(handed.select(*groups, *carried.names), groups).drop(*groups)
 
 
 def _apply(df: DataFrame, groups: list[dict[str, Column]]) -> DataFrame:

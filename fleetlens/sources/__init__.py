@@ -5,10 +5,9 @@ from fleetlens.sources.load import (
     load_records, load_sensor_reference, load_text_lines, load_valve_states,
 )
 from fleetlens.sources.event_time import from_epoch_millis, with_event_time, with_processing_time
-from fleetlens.sources.owners import owner_dimension
 
 __all__ = [
     "from_elements", "from_epoch_millis", "load_alerts", "load_customer_reports", "load_edits", "load_measurements",
     "load_owners", "load_records", "load_sensor_reference", "load_text_lines", "load_valve_states",
-    "owner_dimension", "with_event_time", "with_processing_time",
+    "with_event_time", "with_processing_time",
 ]

@@ -1,18 +1,18 @@
-"""Running the analyses on streams: sinks, side outputs, stateful processors, reading their state."""
+"""Running the analyses on streams: sinks, side outputs, ordered analyses per micro-batch, closing records."""
 
 from fleetlens.streaming.batches import (
-    match_causes_in_batches, match_patterns_in_batches, read_causes, read_causes_state, read_pattern_alerts,
+    match_causes_in_batches, match_complaints_with_patterns, match_patterns_in_batches, read_causes,
+    read_causes_state, read_pattern_alerts,
 )
-from fleetlens.streaming.processors import dangerous_valves_stream, potential_causes_stream
+from fleetlens.streaming.closing import open_closing, with_closing, write_closing
 from fleetlens.streaming.sinks import (
     append_latest, compact_latest, print_stream, print_table, read_current, read_latest, write_append,
     write_routed, write_updates,
 )
-from fleetlens.streaming.state import read_keyed_state
 
 __all__ = [
-    "append_latest", "compact_latest", "dangerous_valves_stream", "match_causes_in_batches",
-    "match_patterns_in_batches", "potential_causes_stream", "print_stream", "print_table", "read_causes",
-    "read_causes_state", "read_current", "read_keyed_state", "read_latest", "read_pattern_alerts",
-    "write_append", "write_routed", "write_updates",
+    "append_latest", "compact_latest", "match_causes_in_batches", "match_complaints_with_patterns",
+    "match_patterns_in_batches", "open_closing", "print_stream", "print_table", "read_causes", "read_causes_state",
+    "read_current", "read_latest", "read_pattern_alerts", "with_closing", "write_append", "write_closing",
+    "write_routed", "write_updates",
 ]

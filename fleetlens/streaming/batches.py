@@ -1,8 +1,8 @@
 """The two order-dependent analyses as micro-batch jobs over tables.
 
-The stateful processors keep all rows of a key in one task.  These forms run the table version on each
-micro-batch instead, where a key that dominates is spread over time slices, and keep what must survive
-a micro-batch in tables: everything stays distributed and readable with ``spark.read``.
+Keyed state would keep all rows of a key in one task.  These forms run the table version on each micro-batch
+instead, where a key that dominates is spread over time slices, and keep what must survive a micro-batch in
+tables: everything stays distributed and readable with ``spark.read``.  Order is exact inside a micro-batch.
 
 Under ``path`` every micro-batch ``n`` writes its partition ``batch_id=n`` of the result and of the state
 tables, and reads only the state written by ``n - 1`` and before, so a replay after a failure overwrites
@@ -27,7 +27,9 @@ FULL_EVERY = 50
 
 
 def _written(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("batch_id").between(first, last))
+    """What micro-batches ``first`` to ``last`` wrote; only their own folders are listed."""
+    folders = [f"{path}/batch_id={n}" for n in range(first, last + 1)]
+    return spark.read.option("basePath", path).parquet(*folders)
 
 
 def read_causes(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +40,10 @@ def read_causes_state(spark: SparkSession, path: str, before: int | None = None)
     """Last complaint and alert per vehicle (before micro-batch ``before``; by default: now)."""
     table = f"{path}/state"
     if before is None:
-        before = spark.read.parquet(table).agg(F.max("batch_id")).first()[0] + 1
+        newest = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
+        if newest is None:  # no vehicle was seen yet
+            return spark.read.parquet(table).drop("batch_id")
+        before = newest + 1
     full = (before - 1) // FULL_EVERY * FULL_EVERY
     newest = F.max_by(F.struct("report", "alert"), "batch_id").alias("_s")
     return _written(spark, table, full, before - 1).groupBy("vehicle_id").agg(newest).select(
@@ -63,29 +68,31 @@ def match_causes_in_batches(
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
 
     def act(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            touched = batch.groupBy("vehicle_id").agg(
-                last_seen("report").alias("report"), last_seen("alert").alias("alert"))
-            if n == 0:
-                rows, state = batch, touched
-            else:
-                before = read_causes_state(spark, path, n)
-                rows = batch.unionByName(_as_known(before.join(touched, "vehicle_id", "left_semi")))
-                kept = before.select("vehicle_id", F.col("report").alias("_r"), F.col("alert").alias("_a"))
-                how = "full" if n % FULL_EVERY == 0 else "left"
-                state = touched.join(kept, "vehicle_id", how).select(
-                    "vehicle_id", F.coalesce("report", "_r").alias("report"),
-                    F.coalesce("alert", "_a").alias("alert"))
-            _write_batch(match_stacked(rows, within, rows_per_slice=rows_per_slice), f"{path}/pairs", n)
-            _write_batch(state, f"{path}/state", n)
+            _match_step(batch, n, path, within, rows_per_slice)
         finally:
             batch.unpersist()
 
     return _each_batch(stacked, "append", act, checkpoint, drain)
 
 
+def _match_step(batch: DataFrame, n: int, path: str, within: str, rows_per_slice: int) -> None:
+    """Match the stacked rows of one micro-batch and write its pairs and state."""
+    touched = batch.groupBy("vehicle_id").agg(last_seen("report").alias("report"), last_seen("alert").alias("alert"))
+    if n == 0:
+        rows, state = batch, touched
+    else:
+        before = read_causes_state(batch.sparkSession, path, n)
+        rows = batch.unionByName(_as_known(before.join(touched, "vehicle_id", "left_semi")))
+        kept = before.select("vehicle_id", F.col("report").alias("_r"), F.col("alert").alias("_a"))
+        how = "full" if n % FULL_EVERY == 0 else "left"
+        state = touched.join(kept, "vehicle_id", how).select(
+            "vehicle_id", F.coalesce("report", "_r").alias("report"), F.coalesce("alert", "_a").alias("alert"))
+    _write_batch(match_stacked(rows, within, rows_per_slice=rows_per_slice), f"{path}/pairs", n)
+    _write_batch(state, f"{path}/state", n)
+
+
 def _as_known(state: DataFrame) -> DataFrame:
     """State rows in front of everything a micro-batch holds."""
     return state.select(
@@ -120,45 +127,114 @@ def match_patterns_in_batches(
     columns = ["sensor_id", "value", "state", *pattern_order(observed)]
 
     def act(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        passed, rows = None, batch.select(*columns)
-        if n > 0:
-            passed = _written(spark, f"{path}/clock", n - 1, n - 1).first()["passed_us"]
-            held = _written(spark, f"{path}/held", n - 1, n - 1).select(*columns)
-            if passed is not None:
-                rows = rows.where(micros("ts") > passed)
-            rows = rows.unionByName(held)
-        rows.persist()
+        rows, now = _passed_rows(batch.select(*columns), n, path, delay)
         try:
-            newest = rows.agg(F.max(micros("ts"))).first()[0]
-            seen = [p for p in (passed, None if newest is None else newest - interval_micros(delay)) if p is not None]
-            now = max(seen) if seen else None
-            is_ready = F.lit(False) if now is None else micros("ts") <= now
-            starts, firsts = _starts_and_firsts(scan_pattern(
-                rows.where(is_ready), normal, closure, heat_above, rows_per_slice=rows_per_slice), n)
-            if n > 0:
-                pending = _written(spark, f"{path}/pending", n - 1, n - 1).drop("batch_id")
-                starts = starts.unionByName(_advance(pending, firsts, n))
-            starts = starts.where((F.col("times") >= min_times) | ~F.col("ended")).persist()
-            done = starts.where("ended AND heat IS NOT NULL")
-            waiting = starts.where("NOT ended OR heat IS NULL")
-            if after_match == "first":
-                # starts whose run ended just now and that share it; older ones were reduced then
-                done = longest_per_run(done)
-                open_runs, ended = waiting.where(~F.col("ended")), waiting.where("ended")
-                ended = longest_per_run(ended).withColumn("ended", F.lit(True))
-                waiting = open_runs.unionByName(ended)
-            _write_batch(as_pattern_alerts(done), f"{path}/alerts", n)
-            _write_batch(waiting, f"{path}/pending", n)
-            _write_batch(rows.where(~is_ready), f"{path}/held", n)
-            _write_batch(spark.createDataFrame([(now,)], "passed_us long"), f"{path}/clock", n)
-            starts.unpersist()
+            ready = rows.where(_upto(now))
+            _pattern_step(ready, n, path, normal, closure, min_times, heat_above, after_match, rows_per_slice)
         finally:
             rows.unpersist()
 
     return _each_batch(observed, "append", act, checkpoint, drain)
 
 
+def _upto(now: int | None) -> Column:
+    return F.lit(False) if now is None else micros("ts") <= now
+
+
+def _passed_rows(rows: DataFrame, n: int, path: str, delay: str) -> tuple[DataFrame, int | None]:
+    """The rows that are not late with those held so far, persisted, and the time up to which they may be used.
+
+    The others are written as held again, and the time to the clock.
+    """
+    spark, passed = rows.sparkSession, None
+    columns = rows.columns
+    if n > 0:
+        passed = _written(spark, f"{path}/clock", n - 1, n - 1).first()["passed_us"]
+        held = _written(spark, f"{path}/held", n - 1, n - 1).select(*columns)
+        if passed is not None:
+            rows = rows.where(micros("ts") > passed)
+        rows = rows.unionByName(held)
+    rows.persist()
+    newest = rows.agg(F.max(micros("ts"))).first()[0]
+    seen = [p for p in (passed, None if newest is None else newest - interval_micros(delay)) if p is not None]
+    now = max(seen) if seen else None
+    _write_batch(rows.where(~_upto(now)), f"{path}/held", n)
+    _write_batch(spark.createDataFrame([(now,)], "passed_us long"), f"{path}/clock", n)
+    return rows, now
+
+
+def _pattern_step(
+    ready: DataFrame, n: int, path: str, normal: tuple[str, ...], closure: tuple[str, ...], min_times: int,
+    heat_above: float, after_match: str, rows_per_slice: int,
+) -> DataFrame:
+    """Advance the pattern by one micro-batch's rows, write its alerts and waiting starts, give the alerts."""
+    spark = ready.sparkSession
+    starts, firsts = _starts_and_firsts(
+        scan_pattern(ready, normal, closure, heat_above, rows_per_slice=rows_per_slice), n)
+    if n > 0:
+        pending = _written(spark, f"{path}/pending", n - 1, n - 1).drop("batch_id")
+        starts = starts.unionByName(_advance(pending, firsts, n))
+    starts = starts.where((F.col("times") >= min_times) | ~F.col("ended")).persist()
+    try:
+        done = starts.where("ended AND heat IS NOT NULL")
+        waiting = starts.where("NOT ended OR heat IS NULL")
+        if after_match == "first":
+            # starts whose run ended just now and that share it; older ones were reduced then
+            done = longest_per_run(done)
+            open_runs, ended = waiting.where(~F.col("ended")), waiting.where("ended")
+            waiting = open_runs.unionByName(longest_per_run(ended).withColumn("ended", F.lit(True)))
+        _write_batch(as_pattern_alerts(done), f"{path}/alerts", n)
+        _write_batch(waiting, f"{path}/pending", n)
+    finally:
+        starts.unpersist()
+    return _written(spark, f"{path}/alerts", n, n).drop("batch_id")
+
+
+def match_complaints_with_patterns(
+    reports: DataFrame,
+    observed: DataFrame,
+    path: str,
+    checkpoint: str,
+    within: str = "2 hours",
+    sensors_per_vehicle: int = SENSORS_PER_VEHICLE,
+    delay: str = WATERMARK_DELAY,
+    normal: tuple[str, ...] = NORMAL,
+    closure: tuple[str, ...] = CLOSURE,
+    min_times: int = 5,
+    heat_above: float = 500.0,
+    after_match: str = "all",
+    rows_per_slice: int = ROWS_PER_SLICE,
+    drain: bool = False,
+) -> StreamingQuery:
+    """The customer-service chain as one query: patterns in ``observed`` are matched with ``reports``.
+
+    Both inputs are held until an event ``delay`` past them was seen, so reports and the alerts of the same
+    stretch of time meet in event-time order.  Pairs: :func:`read_causes`; alerts: :func:`read_pattern_alerts`;
+    state per vehicle: :func:`read_causes_state`.
+    """
+    check_after_match(after_match)
+    columns = ["sensor_id", "value", "state", *pattern_order(observed)]
+    told = ["vehicle_id", "customer_name", "seq"]
+    both = observed.select(*columns, F.lit(True).alias("is_observed")).unionByName(
+        reports.select("ts", *told, F.col("value").alias("report_value"), F.lit(False).alias("is_observed")),
+        allowMissingColumns=True)
+
+    def act(batch: DataFrame, n: int) -> None:
+        rows, now = _passed_rows(batch, n, path, delay)
+        try:
+            ready = rows.where(_upto(now))
+            alerts = _pattern_step(ready.where("is_observed").select(*columns), n, path, normal, closure, min_times,
+                                   heat_above, after_match, rows_per_slice)
+            complaints = ready.where("NOT is_observed").select("ts", *told, F.col("report_value").alias("value"))
+            stacked = stack_reports_and_alerts(complaints, alerts, sensors_per_vehicle).persist()
+            _match_step(stacked, n, path, within, rows_per_slice)
+            stacked.unpersist()
+        finally:
+            rows.unpersist()
+
+    return _each_batch(both, "append", act, checkpoint, drain)
+
+
 def _run(n: int, end: str) -> Column:
     return F.concat(F.lit(f"{n}:"), F.col(end).cast("string"))
 

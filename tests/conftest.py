@@ -86,4 +86,5 @@ def rows_of(df, *names):
     """Collected rows as sorted tuples, timestamps as milliseconds."""
     picked = df.select(*names) if names else df
     return sorted(
-        tuple(ms_of(v) if isinstance(v, dt.datetime) else v for v in row) for row in picked.collect())
+        (tuple(ms_of(v) if isinstance(v, dt.datetime) else v for v in row) for row in picked.collect()),
+        key=lambda row: [(v is None, 0 if v is None else v) for v in row])

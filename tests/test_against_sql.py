@@ -12,7 +12,7 @@ from fleetlens.catalog import QUERIES, SQL, STREAM_QUERIES, STREAM_SQL
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-STREAMS = ["stream_sliding_mean", "stream_state_alerts", "stream_dangerous_valves", "stream_sliding_mean_processing_time"]
+STREAMS = sorted(STREAM_QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 

@@ -53,6 +53,8 @@ def test_misuse_is_named(spark, inputs):
     with pytest.raises(SystemExit, match="needs --measurements"):
         main(["heat-alert"], spark)
     with pytest.raises(SystemExit, match="tables only"):
+        main(["customer-service-sql", *_arguments(inputs, "customer-service-sql"), "--stream"], spark)
+    with pytest.raises(SystemExit, match="needs --out"):
         main(["customer-service", *_arguments(inputs, "customer-service"), "--stream"], spark)
 
 

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from fleetlens import operators as ops
-from fleetlens.functions import floor_div, interval_micros, owner_name, tokens
-from fleetlens.sources import from_epoch_millis, owner_dimension
+from fleetlens.functions import floor_div, interval_micros, tokens
+from fleetlens.sources import from_epoch_millis
 
 
 def test_to_fahrenheit_keeps_other_fields(tables):
@@ -74,14 +74,6 @@ def test_intervals_and_floor_division(spark):
     assert rows_of(values.select(floor_div(F.col("x"), 200).alias("q"))) == [(-1,), (0,), (0,), (1,)]
 
 
-def test_owner_names_and_dimension(spark):
-    ids = spark.createDataFrame([(0,), (31,), (999,), (31,)], "vehicle_id long")
-    named = dict(rows_of(ids.select("vehicle_id", owner_name("vehicle_id"))))
-    assert named == {0: "Romeo Harvey", 31: "Blake Baker", 999: "Ralphy Kennedy"}
-    assert rows_of(owner_dimension(ids, stolen=F.col("vehicle_id") == 31)) == [
-        (0, "Romeo Harvey", False), (31, "Blake Baker", True), (999, "Ralphy Kennedy", False)]
-
-
 def test_epoch_millis(spark):
     out = from_epoch_millis(spark.createDataFrame([(1500,)], "timestamp long"))
     assert out.columns == ["ts"] and rows_of(out) == [(1500,)]

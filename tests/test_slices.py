@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from fleetlens import operators as ops
 from fleetlens.plans import Slices, plan_slices
 
 
@@ -72,3 +73,48 @@ def test_many_large_keys_slice_everything(tables, monkeypatch):
     rows = [(t, t % 5, 1.0) for t in range(1, 501)]
     slices = plan_slices(tables.measurements(*rows), ["sensor_id"], 50)
     assert slices.key is None and len(slices.times) == 9
+
+
+def _with_nulls(tables, column, seed):
+    rng = random.Random(seed)
+    rows = [(1_000 * t, rng.choice([1, 1, 1, 2, 3]), rng.choice([20.0, 30.0, 600.0])) for t in range(1, 401)]
+    gone = F.col("seq") < 150 if seed % 2 else F.col("seq") % 3 == 0  # a hot NULL, or whole slices of NULLs
+    df = tables.measurements(*rows)
+    return df.withColumn(column, F.when(~gone, F.col(column)))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("column", ["sensor_id", "value", "units"])
+def test_slicing_changes_nothing_where_there_are_nulls(tables, column, seed):
+    df = _with_nulls(tables, column, seed)
+    states = F.when(F.col("seq") % 4 == 0, "OPEN").otherwise("CLOSE")
+    observed = df.select("ts", "sensor_id", "value", states.alias("state"), "seq")
+    alerts = df.withColumn("level", F.lit(2))
+    reports = df.select(
+        "ts", (F.col("sensor_id") - 1).alias("vehicle_id"), F.col("units").alias("customer_name"),
+        F.lit("BROKEN_DOWN").alias("value"), "seq")
+
+    def results(rows_per_slice):
+        return [rows_of(out) for out in (
+            ops.running_mean(df, rows_per_slice=rows_per_slice),
+            ops.running_mean(df, compat=True, rows_per_slice=rows_per_slice),
+            ops.reading_changelog(df, "max_last", rows_per_slice=rows_per_slice),
+            ops.reading_changelog(df, "latest", rows_per_slice=rows_per_slice),
+            ops.dangerous_valves(observed, min_times=2, rows_per_slice=rows_per_slice),
+            ops.potential_causes(reports, alerts, sensors_per_vehicle=1, rows_per_slice=rows_per_slice))]
+
+    for plain, sliced in zip(results(10**6), results(30)):
+        assert len(plain) == len(sliced) != 0
+        assert all(a == pytest.approx(b) for a, b in zip(map(_comparable, plain), map(_comparable, sliced)))
+
+
+def _comparable(row):
+    return tuple(-1.0 if v is None else v for v in row)
+
+
+def test_a_hot_null_key_is_listed(tables):
+    df = _with_nulls(tables, "sensor_id", 1)
+    slices = plan_slices(df, ["sensor_id"], 100)
+    assert slices.listed_null
+    cut = slices.assign(df).where("sensor_id IS NULL").select("slice").distinct()
+    assert cut.count() > 1

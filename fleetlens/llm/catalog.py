@@ -51,7 +51,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).select(
         F.lit(ADDED_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ADDED_TEXT).alias("text"))
-    return chat.chat_digests(table.unionByName(added), vocabulary())
+    return chat.chat_digests(table.unionByName(added), vocabulary()).drop("n_tokens", "n_loss_tokens")
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +78,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": minhash_near_dedup,
     "op10_secret_scans": secret_scans,
 }
-SQL: dict[str, str] = {}
+_ESCAPED = r"replace(replace(%s, '\', '\\'), '<|', '<\|')"
+SQL: dict[str, str] = {
+    # The control strings of a turn have 8 + 8 + 7 characters.
+    "op7_chat_formatting": rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT {ADDED_ID}, 0, 'user', '{ADDED_TEXT}' UNION ALL SELECT {ADDED_ID}, 1, 'assistant', '{ADDED_TEXT}'),
+talks AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS every,
+           coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+           CAST(sum(23 + length({_ESCAPED % 'role'}) + length({_ESCAPED % 'text'})) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       formatted_chars
+FROM talks
+""",
+    "op9_minhash_near_dedup": r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+    FROM texts),
+shingles AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (
+    SELECT doc_id AS node, doc_id AS other FROM documents
+    UNION SELECT l.y, r.other FROM reached r JOIN links l ON l.x = r.node),
+named AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, c.component_id, c.component_id = s.doc_id AS kept
+FROM sets s JOIN named c ON c.node = s.doc_id
+""",
+}

@@ -29,14 +29,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.where(F.col("a") != F.col("b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for each node of the links (a, b); a component is named by its smallest node.
 
     Every round at least halves the height of the trees, so rounds grow with the logarithm of the longest
-    path.  Links of a node with itself, nulls and repeated links do not matter.
+    path.  With ``rounds`` it stops early: long components may then still be in parts, which are components of
+    a part of the links.  Links of a node with itself, nulls and repeated links do not matter.
     """
-    edges, seen = _settled(links.select(F.col("a").cast("long"), F.col("b").cast("long"))
-                           .where("a is not null and b is not null and a <> b").distinct())
+    edges = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where(
+        "a is not null and b is not null and a <> b")
+    if rounds is not None:
+        for _ in range(rounds):
+            edges = settle(_star(_star(edges, large=True), large=False))
+        # A node may still hang on several; its smallest one makes a part.
+        named = edges.groupBy("a").agg(F.min("b").alias("b"))
+        return named.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    edges, seen = _settled(edges.distinct())
     while seen[0]:
         edges, now = _settled(_star(_star(edges, large=True), large=False))
         if now == seen:

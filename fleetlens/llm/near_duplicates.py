@@ -36,7 +36,9 @@ TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 LABEL = 2 * DEPTH
 REGION, ALWAYS = 8, 1
 #: Rounds that confirm the strongest candidate of each component before the rest is compared.
-ROUNDS = 4
+ROUNDS = 2
+#: Star rounds for the components between those; what stays apart is compared without need, no more.
+STARS = 2
 #: A component is large from so many nodes on; blocks hold so many; so many of a block's closest are confirmed.
 CROWD, BLOCK, CLOSEST = 8, 4096, 8
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
@@ -282,7 +284,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         chosen = settle(chosen)
         passed = settle(confirmed(chosen, sets, percent))
         links = passed if links is None else links.unionByName(passed)
-        found = components(links)
+        found = components(links, None if last else STARS)
         if not last:  # what was compared and has no link is not compared again
             pairs = live.join(chosen, ["a", "b"], "left_anti").select("a", "b", "strength")
     every = every.select("a", "b")

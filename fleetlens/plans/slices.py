@@ -177,7 +177,8 @@ def ordered_scan(
     if keys:
         placed = placed.withColumn("_key", F.struct(*keys))
     rows = _apply(placed, local(Window.partitionBy(*groups).orderBy(*ordering)))
-    per_slice = rows.groupBy(*groups).agg(*[c.alias(name) for name, c in totals.items()])
+    # With the keys themselves both sides of the join read the same columns, and so the same shuffle.
+    per_slice = rows.groupBy(*groups, *keys).agg(*[c.alias(name) for name, c in totals.items()])
     handed = _apply(per_slice, inherit(Window.partitionBy(*whole).orderBy(turn("slice"))))
     return rows.join(handed.select(*groups, *carried.names), groups).drop(*groups)
 

@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fleetlens.llm.tables import ship
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 PIECE_CHARS = 1 << 20
 LEARNED = "assistant"
@@ -174,6 +176,7 @@ def _apply(conversations: DataFrame, schema: str, work) -> DataFrame:
     simple = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()),
               "array<byte>": pa.list_(pa.int8()), "array<long>": pa.list_(pa.int64())}
     kinds = pa.schema([(name, simple[part.split()[1]]) for name, part in zip(names, schema.split(", "))])
+    ship(conversations.sparkSession)
     return _sorted(conversations).mapInArrow(run, schema)
 
 

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlens.llm.components import components
 from fleetlens.llm.tables import map_chunks, settle
@@ -39,8 +39,8 @@ REGION, ALWAYS = 8, 1
 ROUNDS = 2
 #: Star rounds for the components between those; what stays apart is compared without need, no more.
 STARS = 2
-#: A component is large from so many nodes on; blocks hold so many; so many of a block's closest are confirmed.
-CROWD, BLOCK, CLOSEST = 8, 4096, 8
+#: A component is large from so many nodes on; blocks hold so many; so many of the closest are confirmed at a time.
+CROWD, BLOCK, CLOSEST = 8, 4096, 3
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
 SLACK = 0.15
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
@@ -254,17 +254,23 @@ def _in_crowds(pairs: DataFrame, found: DataFrame, signatures: DataFrame, percen
         x, node = left.column("x").to_numpy(), right.column("node").to_numpy()
         mine, theirs = (np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
                         for column in (left.column("mine"), right.column("theirs")))
-        out = []
+        out, c = [], left.column("c")[0].as_py() if len(x) else None
         for k in range(len(x) if len(node) else 0):
             share = (theirs == mine[k]).mean(1)
             best = np.argsort(-share, kind="stable")[:CLOSEST]
-            out += [(int(min(x[k], node[at])), int(max(x[k], node[at]))) for at in best
+            out += [(c, int(x[k]), int(node[at]), float(share[at])) for at in best
                     if share[at] >= percent / 100 - SLACK and node[at] != x[k]]
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        columns = zip(*out) if out else ((), (), (), ())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(v, kind) for v, kind in zip(columns, kinds)], names=["c", "x", "node", "share"])
 
     keys = ["c", "i", "j"]
-    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(closest, "a long, b long")
+    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        closest, "c long, x long, node long, share double")
+    # A few rows of each block come together.
+    order = Window.partitionBy("c", "x").orderBy(F.desc("share"), "node")
+    made = made.withColumn("place", F.row_number().over(order)).where(F.col("place") <= CLOSEST).select(
+        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
     return made.distinct().join(pairs, ["a", "b"], "left_anti")
 
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetlens.llm.tables import settle
+from fleetlens.llm.tables import settle, ship
 
 TABLES, HASHES, WIDTH = 6, 5, 1.5
 RADIUS, SUCCESS = 1.03, 0.48
@@ -179,6 +179,7 @@ def _best(found: DataFrame, count: int) -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, count: int = 5, tables: int = TABLES, hashes: int = HASHES,
             width: float = WIDTH, radius: float = RADIUS, success: float = SUCCESS) -> DataFrame:
     """For each row of ``queries`` the ``count`` nearest other ids: (query_id, rank, vec_id, score)."""
+    ship(vectors.sparkSession)
     sound = clean(vectors)
     sizes = sound.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").head()
     if sizes is None:

@@ -1,13 +1,15 @@
 """Small helpers shared by the operators: reading tables, Arrow batches, cutting lineage.
 
 Operators keep to DataFrames; their per-batch helpers run in :meth:`DataFrame.mapInArrow`, a bounded number
-of text bytes at a time.  The Python workers need this
-package on their path (``--py-files``).
+of text bytes at a time.  :func:`ship` gives this package to the Python workers.
 """
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,25 @@ from fleetlens.plans.session import settle, shared_dir
 #: Text bytes that a helper holds at once, unless one row alone is longer.
 CHUNK_BYTES = 4 << 20
 
-__all__ = ["CHUNK_BYTES", "chunks", "map_chunks", "read_table", "settle", "shared_dir", "string_bytes"]
+__all__ = ["CHUNK_BYTES", "chunks", "map_chunks", "read_table", "settle", "shared_dir", "ship", "string_bytes"]
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    if package.is_dir():  # else it came as a file of Spark's already
+        archive = Path(tempfile.mkdtemp(prefix="fleetlens-")) / "fleetlens.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +69,7 @@ def map_chunks(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.R
                 if made is not None and made.num_rows:
                     yield made
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

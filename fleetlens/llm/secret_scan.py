@@ -4,10 +4,13 @@ Three plain patterns give the base spans: assigned values, access key ids and lo
 and hex candidates are then decoded, and reported only if their content has the structure of a secret:
 
 * ``der``: ASN.1 whose nested lengths fit exactly and which has the integers of a private key (RSA, EC,
-  PKCS#8), also inside PEM armour;
+  PKCS#8), also inside PEM armour, after ``KEY=`` and with line breaks written as backslash and n;
 * ``ssh``: the length-prefixed fields of an OpenSSH private key;
 * ``jwt``: three base64url parts, of which the first is a JSON object with an ``alg`` and the second JSON.
 
+A base64 candidate may run on into the text after the key; its own outer length says where the key ends, which
+must be the end of a line or of the candidate.
+
 Base spans stay whatever the confirmation says.  Null and empty texts give no spans.  Rows keep their number
 and order of columns: repeated rows are scanned again, a null doc_id passes through.
 """
@@ -16,7 +19,9 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
+import itertools
 import json
 import re
 
@@ -31,8 +36,16 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 TOKEN = re.compile(r"(?<![\w-])eyJ[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*", re.ASCII)
+_LETTERS = "A-Za-z0-9+/_-"
+_BREAK = r"(?:\r?\n|(?:\\+r)?\\+n)(?!-----)"
+#: ASN.1 sequences and the OpenSSH magic fix the first base64 letters.
 BASE64 = re.compile(
-    r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]{1,15})?={0,2}")
+    rf"(?:(?<![{_LETTERS}])|(?<=\\[nrt]))(?=M[A-P]|b3BlbnNz)[{_LETTERS}]{{16,}}(?:{_BREAK}[{_LETTERS}]{{16,}})*"
+    rf"(?:{_BREAK}[{_LETTERS}]{{1,15}})?={{0,2}}")
+PEM = re.compile(rf"-----BEGIN [^-\r\n]{{0,60}}-----((?:(?!-----)[=\s\\{_LETTERS}])*)", re.ASCII)
+_ESCAPED = re.compile(r"\\+[nrt]")
+_LINE = re.compile(f"[{_LETTERS}]+")
+_PADDING = re.compile(r"(?:(?:\s|\\+[rnt])*=){0,2}")
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
 SSH_MAGIC = b"openssh-key-v1\0"
 KINDS = ("assign", "access", "hex", "der", "ssh", "jwt")
@@ -94,6 +107,29 @@ def is_private_key(data: bytes) -> bool:
     return False
 
 
+def _der_length(head: bytes) -> int | None:
+    """Bytes of the outer sequence, by its first bytes; None where no private key starts like that."""
+    if len(head) < 8 or head[0] != 0x30:
+        return None
+    count = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[1] & 0x80 and not 1 <= count <= 4 or head[2 + count] not in (0x02, 0x30):
+        return None
+    return 2 + count + (int.from_bytes(head[2:2 + count], "big") if count else head[1])
+
+
+def _ssh_length(data: bytes) -> int | None:
+    """Bytes of what ``is_ssh_key`` accepts, by its fields; None if it goes on after ``data``."""
+    at = len(SSH_MAGIC)
+    for _ in range(3):  # cipher, derivation, its options
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+    count, at = int.from_bytes(data[at:at + 4], "big"), at + 4
+    for _ in range(count + 1):  # public keys and the private part
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+    return at if at <= len(data) else None
+
+
 def is_ssh_key(data: bytes) -> bool:
     """Whether the bytes are an OpenSSH private key with fitting field lengths."""
     if not data.startswith(SSH_MAGIC):
@@ -138,6 +174,41 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def _keys_between(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """Spans of the keys whose base64 starts one of the lines between both places."""
+    shown = _ESCAPED.sub(lambda m: " " * len(m[0]), text[start:end])
+    lines = [m.span() for m in _LINE.finditer(shown)]
+    plain = "".join(shown[a:b] for a, b in lines)
+    ends = list(itertools.accumulate(b - a for a, b in lines))
+    found, done = [], 0
+    for (first, last), stop in zip(lines, ends):
+        at = stop - (last - first)
+        if at < done or plain[at:at + 1] not in ("M", "b"):
+            continue
+        kind, size = None, None
+        if plain[at] == "M":
+            size = _der_length(_decoded(plain[at:at + 16]) or b"")
+            need = 0 if size is None else (4 * size + 2) // 3
+            if need and at + need <= len(plain) and is_private_key(_decoded(plain[at:at + need])):
+                kind = "der"
+        elif plain.startswith("b3BlbnNz", at):
+            data = _decoded(plain[at:len(plain) - (len(plain) - at) % 4]) or b""
+            data += _decoded(plain[len(plain) - (len(plain) - at) % 4:]) or b""
+            if is_ssh_key(data):
+                kind, size = "ssh", _ssh_length(data)
+        if kind is None:
+            continue
+        cut = len(plain) if size is None else at + (4 * size + 2) // 3
+        line = bisect.bisect_left(ends, cut)
+        if cut != ends[line]:
+            if kind == "der":
+                continue
+            cut, line = len(plain), len(lines) - 1
+        found.append((start + first, _PADDING.match(text, start + lines[line][1], end).end(), kind))
+        done = cut
+    return found
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of candidates whose decoded content has the structure of a key or a signed token."""
     found = []
@@ -145,12 +216,14 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
         head, body, _ = m[0].split(".")
         if (header := _json_object(head)) and isinstance(header.get("alg"), str) and _json_object(body) is not None:
             found.append((*m.span(), "jwt"))
+    keys = set()
+    for m in PEM.finditer(text):
+        keys.update(_keys_between(text, *m.span(1)))
     for m in BASE64.finditer(text):
-        # ASN.1 sequences and the OpenSSH magic fix the first base64 letters.
-        if m[0][:1] == "M" or m[0][:8] == "b3BlbnNz":
-            kind = key_kind(_decoded(m[0]))
-            if kind:
-                found.append((*m.span(), kind))
+        keys.update(_keys_between(text, *m.span()))
+    for start, end, kind in sorted(keys, key=lambda x: (x[0], -x[1])):  # what lies inside another is the same key
+        if not found or found[-1][2] == "jwt" or start >= found[-1][1]:
+            found.append((start, end, kind))
     for m in ANY_HEX.finditer(text):
         if m[0][:2] == "30" or m[0][:8].lower() == SSH_MAGIC[:4].hex():
             kind = key_kind(bytes.fromhex(m[0]))

@@ -8,10 +8,10 @@ order with a common prefix of ``LEAST_DEPTH`` hashes or more.  The depth adapts
 
 Links are confirmed on the full sets.  As only components are wanted, candidates inside a component that is
 already found are not compared: some rounds confirm each component's strongest candidate, the first one that of
-each node, then all are compared that still lead from one component to another.  A node that was a candidate of a large
-component but linked with none of it may have met only a few nodes of a crowded region: its signature is then
-compared with those of all nodes of that component, in blocks of bounded size, and the closest ones are
-confirmed, until that gives no further link.
+each node, then all are compared that still lead from one component to another.  In a region of more than ``REGION``
+nodes that are then still in different components, the signature of each node is compared with those of all nodes
+of the other components, in blocks of bounded size, and the closest ones are confirmed, then the next closest, until
+no pair is left whose signatures agree as much as those of a link.
 
 Words are lower-cased (A-Z) runs between the six ASCII white spaces.  With fewer words than a shingle has, the
 whole sequence is the only shingle; without words, or with null text, the set is empty and linked with
@@ -39,8 +39,9 @@ REGION, ALWAYS = 8, 1
 ROUNDS = 2
 #: Star rounds for the components between those; what stays apart is compared without need, no more.
 STARS = 2
-#: A component is large from so many nodes on; blocks hold so many; so many of the closest are confirmed at a time.
-CROWD, BLOCK, CLOSEST = 8, 4096, 3
+#: A component is large from so many nodes on; blocks hold so many; the first step confirms so many of the closest
+#: of each node, a later one twice as many as the one before, or so many pairs in all if that is more.
+CROWD, BLOCK, CLOSEST, STEP = 8, 1024, 3, 1 << 15
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
 SLACK = 0.15
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
@@ -232,46 +233,99 @@ def _strongest(live: DataFrame) -> DataFrame:
     return both.select("p.a", "p.b").distinct()
 
 
-def _in_crowds(pairs: DataFrame, found: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """New candidates (a, b) of nodes that were candidates of a large component they are not in."""
-    sizes = found.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") >= CROWD)
-    live = _between(pairs, found)
-    asked = (live.select(F.col("a").alias("x"), F.col("cb").alias("component"))
-             .unionByName(live.select(F.col("b").alias("x"), F.col("ca").alias("component"))).distinct()
-             .join(sizes.select("component"), "component", "left_semi"))
-    shape = settle(asked.groupBy("component").agg(F.count("*").alias("asks")).join(sizes, "component").select(
-        "component", F.ceil(F.col("asks") / BLOCK).cast("int").alias("down"),
-        F.ceil(F.col("size") / BLOCK).cast("int").alias("over")))
-    left = (asked.join(signatures.select(F.col("node").alias("x"), F.col("signature").alias("mine")), "x").join(shape, "component").withColumns(
-        {"i": F.pmod(F.xxhash64("x"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))}
-    ).select(F.col("component").alias("c"), "i", "j", "x", "mine"))
-    right = (found.join(shape, "component").join(
-        signatures.select("node", F.col("signature").alias("theirs")), "node").withColumns(
+def _regions(nodes: DataFrame) -> DataFrame:
+    """(region, node): per tree the region of the nodes that share ``LEAST_DEPTH`` hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u4").reshape(
+                -1, TREES, DEPTH)[:, :, :LEAST_DEPTH].astype(np.uint64)
+            keys = np.tile(np.arange(TREES, dtype=np.uint64), (len(heads), 1))
+            for k in range(LEAST_DEPTH):
+                keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + heads[:, :, k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel().astype(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), TREES))],
+                names=["region", "node"])
+
+    return nodes.select("node", "signature").mapInArrow(run, "region long, node long")
+
+
+def _brief(nodes: DataFrame) -> DataFrame:
+    """(node, n_shingles, brief): one byte of each part of the signature; bytes agree where the parts do."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = [s[3::4] for s in batch.column("signature").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n_shingles"), pa.array(cut, pa.binary())],
+                                             names=["node", "n_shingles", "brief"])
+
+    return nodes.select("node", "n_shingles", "signature").mapInArrow(run, "node long, n_shingles long, brief binary")
+
+
+def _members(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """(region, node, c0, s0) of regions of more than ``REGION`` nodes, with the components they are in now.
+
+    Of two nodes of different components, the one with the smaller (s0, c0) asks for the other.  That stays as it
+    is when components grow, so each pair is in one node's list for good.
+    """
+    rows = _regions(nodes)
+    crowded = rows.groupBy("region").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("region")
+    large = found.groupBy("component").agg(F.count("*").alias("s0")).where(F.col("s0") >= CROWD)
+    named = found.select("node", F.col("component").alias("c0"))
+    return (rows.join(crowded, "region").join(named, "node", "left").withColumn("c0", F.coalesce("c0", "node"))
+            .join(large.withColumnRenamed("component", "c0"), "c0", "left")
+            .select("region", "node", "c0", F.coalesce("s0", F.lit(0)).alias("s0")))
+
+
+def _closest(members: DataFrame, found: DataFrame, brief: DataFrame, past: DataFrame, percent: int,
+             count: int) -> DataFrame:
+    """(x, node, share): the ``count`` nodes of other components that come next in the list of each node that asks.
+
+    A list is sorted by share, then node; ``past`` (x, past_share, past_node) tells how far it has been worked off.
+    """
+    named = found.select("node", F.col("component").alias("c"))
+    rows = settle(members.join(named, "node", "left").withColumn("c", F.coalesce("c", "node")))
+    live = rows.groupBy("region").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n"),
+        F.max(F.struct("s0", "c0")).alias("top")).where("low <> high")
+    rows = settle(rows.join(live.select("region", "n", "top"), "region")
+                  .withColumn("asks", F.struct("s0", "c0") != F.col("top")).drop("top"))
+    shape = settle(rows.groupBy("region").agg(
+        F.ceil(F.sum(F.col("asks").cast("int")) / BLOCK).cast("int").alias("down"),
+        F.ceil(F.first("n") / BLOCK).cast("int").alias("over")).where("down > 0"))
+    rows = rows.drop("n").join(brief, "node").join(shape, "region")
+    keys = ["region", "i", "j"]
+    left = rows.where("asks").join(past.withColumnRenamed("x", "node"), "node", "left").withColumns(
+        {"i": F.pmod(F.xxhash64("node"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))}
+    ).select(*keys, "node", "c", "c0", "s0", "n_shingles", "brief", "past_share", "past_node")
+    right = rows.withColumns(
         {"i": F.explode(F.expr("sequence(0, down - 1)")), "j": F.pmod(F.xxhash64("node"), F.col("over")).cast("int")}
-    ).select(F.col("component").alias("c"), "i", "j", "node", "theirs"))
-
-    def closest(left: pa.Table, right: pa.Table) -> pa.Table:
-        x, node = left.column("x").to_numpy(), right.column("node").to_numpy()
-        mine, theirs = (np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TREES * DEPTH)
-                        for column in (left.column("mine"), right.column("theirs")))
-        out, c = [], left.column("c")[0].as_py() if len(x) else None
-        for k in range(len(x) if len(node) else 0):
-            share = (theirs == mine[k]).mean(1)
-            best = np.argsort(-share, kind="stable")[:CLOSEST]
-            out += [(c, int(x[k]), int(node[at]), float(share[at])) for at in best
-                    if share[at] >= percent / 100 - SLACK and node[at] != x[k]]
-        columns = zip(*out) if out else ((), (), (), ())
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        return pa.table([pa.array(v, kind) for v, kind in zip(columns, kinds)], names=["c", "x", "node", "share"])
-
-    keys = ["c", "i", "j"]
-    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        closest, "c long, x long, node long, share double")
-    # A few rows of each block come together.
-    order = Window.partitionBy("c", "x").orderBy(F.desc("share"), "node")
-    made = made.withColumn("place", F.row_number().over(order)).where(F.col("place") <= CLOSEST).select(
-        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-    return made.distinct().join(pairs, ["a", "b"], "left_anti")
+    ).select(*[F.col(name).alias(name) for name in (*keys, "node", "c", "c0", "s0", "n_shingles", "brief")])
+    least = int(np.ceil((percent / 100 - SLACK) * TREES * DEPTH))
+
+    def next_ones(left: pa.Table, right: pa.Table) -> pa.Table:
+        columns = ("node", "c", "c0", "s0", "n_shingles")
+        x, c, c0, s0, n = (left.column(name).to_numpy() for name in columns)
+        node, their_c, their_c0, their_s0, their_n = (right.column(name).to_numpy() for name in columns)
+        mine, theirs = (np.frombuffer(b"".join(side.column("brief").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
+                        for side in (left, right))
+        past_share = left.column("past_share").fill_null(TREES * DEPTH + 1).to_numpy()
+        past_node = left.column("past_node").fill_null(0).to_numpy()
+        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+        for k in range(len(x)):
+            at = np.flatnonzero(
+                (their_c != c[k]) & ((their_s0 > s0[k]) | ((their_s0 == s0[k]) & (their_c0 > c0[k])))
+                & (100 * np.minimum(their_n, n[k]) >= percent * np.maximum(their_n, n[k])))
+            share = (theirs[at] == mine[k]).sum(1)
+            wanted = (share >= least) & ((share < past_share[k]) | ((share == past_share[k]) & (node[at] > past_node[k])))
+            at, share = at[wanted], share[wanted]
+            best = np.lexsort((node[at], -share))[:count]
+            out.append((np.full(len(best), x[k]), node[at[best]], share[best]))
+        return pa.table([pa.array(np.concatenate(v).astype(np.int64)) for v in zip(*out)], names=["x", "node", "share"])
+
+    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(next_ones, "x long, node long, share long")
+    # The regions that two nodes share give the pair once each, a few rows of each block come together.
+    order = Window.partitionBy("x").orderBy(F.desc("share"), "node")
+    made = made.groupBy("x", "node").agg(F.max("share").alias("share"))
+    return made.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count).drop("place")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
@@ -294,14 +348,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         if not last:  # what was compared and has no link is not compared again
             pairs = live.join(chosen, ["a", "b"], "left_anti").select("a", "b", "strength")
     every = every.select("a", "b")
-    signatures = nodes.select("node", "signature")
+    members, brief, count = settle(_members(nodes, found)), _brief(nodes), CLOSEST
+    past = nodes.sparkSession.createDataFrame([], "x long, past_share long, past_node long")
     while True:
-        chosen = settle(_in_crowds(every, found, signatures, percent))
-        passed = settle(confirmed(chosen, sets, percent))
-        if passed.isEmpty():
+        chosen = settle(_closest(members, found, brief, past, percent, count))
+        if chosen.isEmpty():
             break
-        every, links = every.unionByName(chosen), links.unionByName(passed)
-        found = components(links)
+        fresh = chosen.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        passed = settle(confirmed(fresh.join(every, ["a", "b"], "left_anti"), sets, percent))
+        if not passed.isEmpty():
+            links = links.unionByName(passed)
+            found = components(links)
+        least = F.min(F.struct(F.col("share"), (-F.col("node")).alias("node"))).alias("p")
+        done = chosen.groupBy("x").agg(least).select("x", F.col("p.share").alias("past_share"), (-F.col("p.node")).alias("past_node"))
+        past = settle(past.join(done, "x", "left_anti").unionByName(done))
+        count = max(2 * count, STEP // done.count())
     named = (nodes.select("key", "n_shingles", "node")
              .join(found, "node", "left").select("key", "n_shingles", F.coalesce("component", "node").alias("c")))
     own = signed.select("doc_id", "key", "n_shingles")

@@ -302,6 +302,18 @@ def test_near_duplicates_equal_brute_force(spark, size, percent):
     assert near_duplicates.near_duplicates(frame.limit(0), size, percent).collect() == []
 
 
+def crowd_of_pairs(pairs):
+    """Texts alike at 0.80, each at 0.856 with one partner."""
+    common = [f"c{k}" for k in range(160)]
+    return [(2 * p + side, " ".join([*common, *[f"p{p}_{k}" for k in range(6)], *[f"u{p}_{side}_{k}" for k in range(14)]]))
+            for p in range(pairs) for side in (0, 1)]
+
+
+def test_crowded_regions_are_searched_whole(spark):
+    rows = near_duplicates.near_duplicates(made_docs(spark, crowd_of_pairs(150)), 1, 85).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {d: d // 2 * 2 for d in range(300)}
+
+
 def test_near_duplicates_of_the_table(spark):
     docs = [(r.doc_id, r.text) for r in table_of(spark, "documents").collect()]
     component, _ = brute_components(docs, 3, 85)

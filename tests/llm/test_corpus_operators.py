@@ -309,11 +309,27 @@ def crowd_of_pairs(pairs):
             for p in range(pairs) for side in (0, 1)]
 
 
+def groups_with_strangers(groups, size):
+    """Groups alike at 0.97, each with a last text alike to its texts at 0.837, but to one of them at 0.862."""
+    docs = []
+    for g in range(groups):
+        common = [f"c{g}_{k}" for k in range(200)]
+        own = [[f"u{g}_{m}_{k}" for k in range(3)] for m in range(size)]
+        texts = [common + words for words in own] + [common[:190] + own[g % size] + [f"s{g}_{k}" for k in range(21)]]
+        docs += [(g * (size + 1) + m, " ".join(words)) for m, words in enumerate(texts)]
+    return docs
+
+
 def test_crowded_regions_are_searched_whole(spark):
     rows = near_duplicates.near_duplicates(made_docs(spark, crowd_of_pairs(150)), 1, 85).collect()
     assert {r.doc_id: r.component_id for r in rows} == {d: d // 2 * 2 for d in range(300)}
 
 
+def test_partners_behind_the_closest_are_confirmed(spark):
+    rows = near_duplicates.near_duplicates(made_docs(spark, groups_with_strangers(20, 60)), 1, 85).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {d: d // 61 * 61 for d in range(20 * 61)}
+
+
 def test_near_duplicates_of_the_table(spark):
     docs = [(r.doc_id, r.text) for r in table_of(spark, "documents").collect()]
     component, _ = brute_components(docs, 3, 85)

@@ -66,7 +66,6 @@ def _encoders(path: str) -> tuple:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     ranks = {_vocabulary_bytes(word): k for word, k in tokenizer.get_vocab(False).items()
              if not word.startswith("<|")}
     full, simple = (tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -75,9 +74,12 @@ def _encoders(path: str) -> tuple:
 
 
 def encode(text: str, path: str) -> bytes:
-    """Token ids of a text as little-endian unsigned 32-bit numbers; special tokens in it are plain text."""
+    """Token ids of a text as little-endian unsigned 32-bit numbers, as the tokenizer gives them by default.
+
+    So a special token that a text spells out is one id; only the tokenizer itself sees such texts.
+    """
     tokenizer, full, simple = _encoders(path)
-    if _UNUSUAL.search(text):
+    if "<|" in text or _UNUSUAL.search(text):
         ids = tokenizer.encode(text, add_special_tokens=False).ids
     else:
         ids = (full if _TWO_SPACES.search(text) else simple).encode_ordinary(text)

@@ -197,10 +197,20 @@ def plain_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(catalog.vocabulary())
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_in_texts_are_one_id():
+    ids = np.frombuffer(packing.encode("a <|endoftext|> b", catalog.vocabulary()), "<u4").tolist()
+    assert ids == plain_ids(["a <|endoftext|> b"])[0] and len(ids) == 4
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "a", " ", "\n", "é", "漢", "endoftext"]), max_size=8).map("".join))
+def test_token_ids_with_special_tokens(text):
+    assert packing.encode(text, catalog.vocabulary()) == np.array(plain_ids([text])[0], "<u4").tobytes()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab 'st\n\t\r  é²½ĀɏÀ×÷·_019.,!-\x1c\x85\xa0 漢́\U0001f600<|endoftext|>", max_size=30))
 def test_token_ids_are_those_of_the_tokenizer(text):

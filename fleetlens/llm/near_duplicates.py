@@ -8,10 +8,14 @@ order with a common prefix of ``LEAST_DEPTH`` hashes or more.  The depth adapts
 
 Links are confirmed on the full sets.  As only components are wanted, candidates inside a component that is
 already found are not compared: some rounds confirm each component's strongest candidate, the first one that of
-each node, then all are compared that still lead from one component to another.  In a region of more than ``REGION``
-nodes that are then still in different components, the signature of each node is compared with those of all nodes
-of the other components, in blocks of bounded size, and the closest ones are confirmed, then the next closest, until
-no pair is left whose signatures agree as much as those of a link.
+each node, then all are compared that still lead from one component to another.  A region of more than ``REGION``
+nodes that are then still in different components is searched whole, in blocks of at most ``BLOCK`` by ``BLOCK``
+nodes: signatures tell which nodes of a block may have a link to another component, the texts of these follow, and
+the block confirms all such pairs on their full sets.  Blocks give links only, at most one of a node and a component,
+so what they give does not grow with the pairs they compare.  A pair that shares several regions is compared in the
+first one only.
+
+Texts are kept in a table bucketed by document, so the joins that bring them to their pairs shuffle the pairs only.
 
 Words are lower-cased (A-Z) runs between the six ASCII white spaces.  With fewer words than a shingle has, the
 whole sequence is the only shingle; without words, or with null text, the set is empty and linked with
@@ -21,14 +25,16 @@ document for linking, whose sets are all its rows' sets; each row gives a row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from fleetlens.llm.components import components
-from fleetlens.llm.tables import map_chunks, settle
+from fleetlens.llm.tables import chunks, map_chunks, settle, shared_dir
 from fleetlens.llm.words import mix, run_hashes, words_of
 
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
@@ -39,9 +45,8 @@ REGION, ALWAYS = 8, 1
 ROUNDS = 2
 #: Star rounds for the components between those; what stays apart is compared without need, no more.
 STARS = 2
-#: A component is large from so many nodes on; blocks hold so many; the first step confirms so many of the closest
-#: of each node, a later one twice as many as the one before, or so many pairs in all if that is more.
-CROWD, BLOCK, CLOSEST, STEP = 8, 1024, 3, 1 << 15
+#: Nodes of a block's side; pairs of one node that a block confirms in one step.
+BLOCK, PAIRS = 512, 256
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
 SLACK = 0.15
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
@@ -88,14 +93,13 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     return map_chunks(docs.select(F.col("doc_id").cast("long"), "text"), "text", work, SIGNED)
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles): sorted distinct shingle hashes as bytes."""
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text"), size)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
-
-    return map_chunks(docs.select(F.col("doc_id").cast("long"), "text"), "text", work, "node long, shingles binary")
+def _by_document(texts: DataFrame) -> tuple[str, DataFrame]:
+    """(node, text) as a table bucketed by node, with as many buckets as a join has partitions, and its name."""
+    spark = texts.sparkSession
+    count, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"texts_{uuid.uuid4().hex}"
+    texts.repartition(count, "node").sortWithinPartitions("node").write.bucketBy(count, "node").sortBy("node").option(
+        "path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    return name, spark.table(name)
 
 
 # --- candidates from the sorted orders ---------------------------------------------------------------
@@ -192,13 +196,20 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
 # --- confirmation and components ---------------------------------------------------------------------
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _distinct_sets(texts: pa.ChunkedArray | pa.Array, size: int) -> list[np.ndarray]:
+    """The shingle sets of texts, made once for each different text."""
+    joined = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    coded = joined.cast(pa.large_string()).dictionary_encode()
+    made = shingle_sets(coded.dictionary, size)
+    return [made[k] for k in coded.indices.to_pylist()]
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole, "other")):
             passed = []
-            for mine, other in zip(batch.column("mine"), batch.column("other")):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (mine, other))
+            for x, y in zip(_distinct_sets(batch.column("mine"), size), _distinct_sets(batch.column("other"), size)):
                 small, large = sorted((x, y), key=len)
                 if not len(small) or 100 * len(small) < percent * len(large):
                     passed.append(False)
@@ -206,11 +217,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 both = int((large[at] == small).sum())
                 passed.append(100 * both >= percent * (len(x) + len(y) - both))
-            kept = batch.filter(pa.array(passed))
-            yield kept.select(["a", "b"])
+            yield batch.filter(pa.array(passed)).select(["a", "b"])
 
-    first = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b")
-    both = first.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine")), "a")
+    first = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    both = first.join(texts.select(F.col("node").alias("a"), F.col("text").alias("mine")), "a")
     return both.select("a", "b", "mine", "other").mapInArrow(run, "a long, b long")
 
 
@@ -233,99 +243,141 @@ def _strongest(live: DataFrame) -> DataFrame:
     return both.select("p.a", "p.b").distinct()
 
 
+def region_keys(signatures: list[bytes]) -> np.ndarray:
+    """Per node and tree the region of the nodes that share ``LEAST_DEPTH`` hashes."""
+    heads = np.frombuffer(b"".join(signatures), ">u4").reshape(-1, TREES, DEPTH)[:, :, :LEAST_DEPTH].astype(np.uint64)
+    keys = np.tile(np.arange(TREES, dtype=np.uint64), (len(heads), 1))
+    for k in range(LEAST_DEPTH):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + heads[:, :, k])
+    return keys
+
+
 def _regions(nodes: DataFrame) -> DataFrame:
-    """(region, node): per tree the region of the nodes that share ``LEAST_DEPTH`` hashes."""
+    """(region, node, c, s) of nodes (node, signature, c, s)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u4").reshape(
-                -1, TREES, DEPTH)[:, :, :LEAST_DEPTH].astype(np.uint64)
-            keys = np.tile(np.arange(TREES, dtype=np.uint64), (len(heads), 1))
-            for k in range(LEAST_DEPTH):
-                keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + heads[:, :, k])
+            keys = region_keys(batch.column("signature").to_pylist()).ravel().astype(np.int64)
+            again = pa.array(np.repeat(np.arange(batch.num_rows), TREES))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().astype(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), TREES))],
-                names=["region", "node"])
+                [pa.array(keys), *[batch.column(name).take(again) for name in ("node", "c", "s")]],
+                names=["region", "node", "c", "s"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "region long, node long")
+    return nodes.select("node", "c", "s", "signature").mapInArrow(run, "region long, node long, c long, s long")
 
 
 def _brief(nodes: DataFrame) -> DataFrame:
-    """(node, n_shingles, brief): one byte of each part of the signature; bytes agree where the parts do."""
+    """(node, n_shingles, brief, homes): one byte of each part of the signature, and the node's regions.
+
+    Bytes agree where the parts do.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = [s[3::4] for s in batch.column("signature").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n_shingles"), pa.array(cut, pa.binary())],
-                                             names=["node", "n_shingles", "brief"])
+            signatures = batch.column("signature").to_pylist()
+            homes = region_keys(signatures)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n_shingles"), pa.array([s[3::4] for s in signatures], pa.binary()),
+                 pa.array([row.tobytes() for row in homes], pa.binary())], names=["node", "n_shingles", "brief", "homes"])
+
+    return nodes.select("node", "n_shingles", "signature").mapInArrow(
+        run, "node long, n_shingles long, brief binary, homes binary")
+
 
-    return nodes.select("node", "n_shingles", "signature").mapInArrow(run, "node long, n_shingles long, brief binary")
+_MEMBER = ("region", "i", "j", "node", "c", "s", "n_shingles", "brief", "homes")
 
 
-def _members(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """(region, node, c0, s0) of regions of more than ``REGION`` nodes, with the components they are in now.
+def near_pairs(left: pa.Table, right: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of ``left`` the rows of ``right`` that may be linked with it, the closest first.
 
-    Of two nodes of different components, the one with the smaller (s0, c0) asks for the other.  That stays as it
-    is when components grow, so each pair is in one node's list for good.
+    Only rows of other components, of which the node in the smaller one (size, then name) asks for the other; only
+    where the block's region is the first one that both nodes share; and only where the signatures agree in at least
+    the share that linked sets have, less ``SLACK``.
     """
-    rows = _regions(nodes)
-    crowded = rows.groupBy("region").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("region")
-    large = found.groupBy("component").agg(F.count("*").alias("s0")).where(F.col("s0") >= CROWD)
-    named = found.select("node", F.col("component").alias("c0"))
-    return (rows.join(crowded, "region").join(named, "node", "left").withColumn("c0", F.coalesce("c0", "node"))
-            .join(large.withColumnRenamed("component", "c0"), "c0", "left")
-            .select("region", "node", "c0", F.coalesce("s0", F.lit(0)).alias("s0")))
+    c, s, n = (left.column(name).to_numpy() for name in ("c", "s", "n_shingles"))
+    their_c, their_s, their_n = (right.column(name).to_numpy() for name in ("c", "s", "n_shingles"))
+    mine, theirs = (np.frombuffer(b"".join(side.column("brief").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
+                    for side in (left, right))
+    home, their_home = (np.frombuffer(b"".join(side.column("homes").to_pylist()), np.uint64).reshape(-1, TREES)
+                        for side in (left, right))
+    region = left.column("region").to_numpy().astype(np.int64).view(np.uint64)[:1]
+    least = int(np.ceil((percent / 100 - SLACK) * TREES * DEPTH))
+    for k in range(len(c)):
+        at = np.flatnonzero(
+            (their_c != c[k]) & ((their_s > s[k]) | ((their_s == s[k]) & (their_c > c[k])))
+            & (100 * np.minimum(their_n, n[k]) >= percent * np.maximum(their_n, n[k])))
+        share = (theirs[at] == mine[k]).sum(1)
+        at, share = at[share >= least], share[share >= least]
+        first = (their_home[at] == home[k]).argmax(1)
+        here = home[k][first] == region
+        yield k, at[here][np.argsort(-share[here], kind="stable")]
 
 
-def _closest(members: DataFrame, found: DataFrame, brief: DataFrame, past: DataFrame, percent: int,
-             count: int) -> DataFrame:
-    """(x, node, share): the ``count`` nodes of other components that come next in the list of each node that asks.
+def _crowded(nodes: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the blocks of regions of more than ``REGION`` nodes in different components.
 
-    A list is sorted by share, then node; ``past`` (x, past_share, past_node) tells how far it has been worked off.
+    Nodes of a region's largest component do not ask.
     """
-    named = found.select("node", F.col("component").alias("c"))
-    rows = settle(members.join(named, "node", "left").withColumn("c", F.coalesce("c", "node")))
-    live = rows.groupBy("region").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n"),
-        F.max(F.struct("s0", "c0")).alias("top")).where("low <> high")
-    rows = settle(rows.join(live.select("region", "n", "top"), "region")
-                  .withColumn("asks", F.struct("s0", "c0") != F.col("top")).drop("top"))
-    shape = settle(rows.groupBy("region").agg(
-        F.ceil(F.sum(F.col("asks").cast("int")) / BLOCK).cast("int").alias("down"),
-        F.ceil(F.first("n") / BLOCK).cast("int").alias("over")).where("down > 0"))
-    rows = rows.drop("n").join(brief, "node").join(shape, "region")
+    sizes = found.groupBy("component").agg(F.count("*").alias("s"))
+    named = found.join(sizes, "component").select("node", F.col("component").alias("c"), "s")
+    placed = nodes.join(named, "node", "left").withColumns({"c": F.coalesce("c", "node"), "s": F.coalesce("s", F.lit(1))})
+    rows = settle(_regions(placed))
+    per_component = rows.groupBy("region", "s", "c").agg(F.count("*").alias("m"))
+    shape = per_component.groupBy("region").agg(
+        F.sum("m").alias("n"), F.count("*").alias("parts"), F.max(F.struct("s", "c", "m")).alias("top")
+    ).where((F.col("n") > REGION) & (F.col("parts") > 1)).select(
+        "region", "top.s", "top.c", F.ceil((F.col("n") - F.col("top.m")) / BLOCK).cast("int").alias("down"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("over"))
+    shape = shape.withColumnsRenamed({"s": "top_s", "c": "top_c"})
+    rows = rows.join(shape, "region").withColumn("asks", (F.col("s") != F.col("top_s")) | (F.col("c") != F.col("top_c")))
+    rows = settle(rows.drop("top_s", "top_c").join(_brief(nodes), "node"))
+    left = rows.where("asks").withColumns({
+        "i": F.pmod(F.xxhash64("node"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))})
+    right = rows.withColumns({
+        "i": F.explode(F.expr("sequence(0, down - 1)")), "j": F.pmod(F.xxhash64("node"), F.col("over")).cast("int")})
+    return left.select(*_MEMBER), right.select(*[F.col(name).alias(name) for name in _MEMBER])
+
+
+def _crowd_links(nodes: DataFrame, found: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """(a, b): links between different components of crowded regions, at most one of a node and a component per block."""
+    left, right = _crowded(nodes, found)
     keys = ["region", "i", "j"]
-    left = rows.where("asks").join(past.withColumnRenamed("x", "node"), "node", "left").withColumns(
-        {"i": F.pmod(F.xxhash64("node"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))}
-    ).select(*keys, "node", "c", "c0", "s0", "n_shingles", "brief", "past_share", "past_node")
-    right = rows.withColumns(
-        {"i": F.explode(F.expr("sequence(0, down - 1)")), "j": F.pmod(F.xxhash64("node"), F.col("over")).cast("int")}
-    ).select(*[F.col(name).alias(name) for name in (*keys, "node", "c", "c0", "s0", "n_shingles", "brief")])
-    least = int(np.ceil((percent / 100 - SLACK) * TREES * DEPTH))
-
-    def next_ones(left: pa.Table, right: pa.Table) -> pa.Table:
-        columns = ("node", "c", "c0", "s0", "n_shingles")
-        x, c, c0, s0, n = (left.column(name).to_numpy() for name in columns)
-        node, their_c, their_c0, their_s0, their_n = (right.column(name).to_numpy() for name in columns)
-        mine, theirs = (np.frombuffer(b"".join(side.column("brief").to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
-                        for side in (left, right))
-        past_share = left.column("past_share").fill_null(TREES * DEPTH + 1).to_numpy()
-        past_node = left.column("past_node").fill_null(0).to_numpy()
-        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
-        for k in range(len(x)):
-            at = np.flatnonzero(
-                (their_c != c[k]) & ((their_s0 > s0[k]) | ((their_s0 == s0[k]) & (their_c0 > c0[k])))
-                & (100 * np.minimum(their_n, n[k]) >= percent * np.maximum(their_n, n[k])))
-            share = (theirs[at] == mine[k]).sum(1)
-            wanted = (share >= least) & ((share < past_share[k]) | ((share == past_share[k]) & (node[at] > past_node[k])))
-            at, share = at[wanted], share[wanted]
-            best = np.lexsort((node[at], -share))[:count]
-            out.append((np.full(len(best), x[k]), node[at[best]], share[best]))
-        return pa.table([pa.array(np.concatenate(v).astype(np.int64)) for v in zip(*out)], names=["x", "node", "share"])
-
-    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(next_ones, "x long, node long, share long")
-    # The regions that two nodes share give the pair once each, a few rows of each block come together.
-    order = Window.partitionBy("x").orderBy(F.desc("share"), "node")
-    made = made.groupBy("x", "node").agg(F.max("share").alias("share"))
-    return made.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count).drop("place")
+    kind = StructType([*left.schema.fields, StructField("asks", BooleanType())])
+
+    def may_link(left: pa.Table, right: pa.Table) -> pa.Table:
+        asking, asked = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
+        for k, at in near_pairs(left, right, percent):
+            asking[k] = len(at) > 0
+            asked[at] = True
+        sides = [side.filter(pa.array(kept)) for side, kept in ((left, asking), (right, asked))]
+        return pa.concat_tables([
+            side.append_column("asks", pa.array(np.full(side.num_rows, first))) for side, first in zip(sides, (True, False))])
+
+    def confirm(left: pa.Table, right: pa.Table) -> pa.Table:
+        mine, theirs = (_distinct_sets(side.column("text"), size) for side in (left, right))
+        node, their_node = left.column("node").to_numpy(), right.column("node").to_numpy()
+        component, links = right.column("c").to_numpy(), []
+        filled = np.array([len(one) > 0 for one in theirs], bool)  # a row of the same doc_id may have no words
+        for k, at in near_pairs(left, right, percent):
+            linked: set[int] = set()
+            at = at[filled[at]] if len(mine[k]) else at[:0]
+            while len(at):
+                part, at = at[:PAIRS], at[PAIRS:]
+                sizes = np.array([len(theirs[y]) for y in part])
+                flat = np.concatenate([theirs[y] for y in part])
+                there = mine[k][np.minimum(np.searchsorted(mine[k], flat), len(mine[k]) - 1)] == flat
+                both = np.add.reduceat(there, np.cumsum(sizes) - sizes, dtype=np.int64)
+                for y in part[100 * both >= percent * (sizes + len(mine[k]) - both)].tolist():
+                    if component[y] not in linked:
+                        linked.add(component[y])
+                        links.append((node[k], their_node[y]))
+                at = at[~np.isin(component[at], list(linked))]
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table([pa.array(ends.min(1)), pa.array(ends.max(1))], names=["a", "b"])
+
+    members = settle(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(may_link, kind))
+    told = members.join(texts, "node")
+    sides = [told.where(side).select(*_MEMBER, "text") for side in ("asks", "not asks")]
+    right = sides[1].select(*[F.col(name).alias(name) for name in sides[1].columns])
+    return sides[0].groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(confirm, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
@@ -333,36 +385,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     signed = settle(_signed(docs, shingle))
     nodes = settle(signed.where("signature is not null and doc_id is not null").groupBy("key", "n_shingles")
              .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
-    pairs = every = settle(candidates(nodes))
-    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # Texts are joined, as they are smaller than their sets.
-    sets = settle(_sets(docs.select(F.col("doc_id").cast("long"), "text").join(ends, "doc_id", "left_semi"), shingle))
+    pairs = settle(candidates(nodes))
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    name, texts = _by_document(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(ends, "node", "left_semi"))
     links = found = None
     for last in (*[False] * ROUNDS, True):
         live = settle(_between(pairs, found))
         chosen = live.select("a", "b") if last else _strongest(live)
         chosen = settle(chosen)
-        passed = settle(confirmed(chosen, sets, percent))
+        passed = settle(confirmed(chosen, texts, percent, shingle))
         links = passed if links is None else links.unionByName(passed)
         found = components(links, None if last else STARS)
         if not last:  # what was compared and has no link is not compared again
             pairs = live.join(chosen, ["a", "b"], "left_anti").select("a", "b", "strength")
-    every = every.select("a", "b")
-    members, brief, count = settle(_members(nodes, found)), _brief(nodes), CLOSEST
-    past = nodes.sparkSession.createDataFrame([], "x long, past_share long, past_node long")
-    while True:
-        chosen = settle(_closest(members, found, brief, past, percent, count))
-        if chosen.isEmpty():
-            break
-        fresh = chosen.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        passed = settle(confirmed(fresh.join(every, ["a", "b"], "left_anti"), sets, percent))
-        if not passed.isEmpty():
-            links = links.unionByName(passed)
-            found = components(links)
-        least = F.min(F.struct(F.col("share"), (-F.col("node")).alias("node"))).alias("p")
-        done = chosen.groupBy("x").agg(least).select("x", F.col("p.share").alias("past_share"), (-F.col("p.node")).alias("past_node"))
-        past = settle(past.join(done, "x", "left_anti").unionByName(done))
-        count = max(2 * count, STEP // done.count())
+    crowd = settle(_crowd_links(nodes, found, texts, percent, shingle))
+    if not crowd.isEmpty():
+        found = components(links.unionByName(crowd))
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # its files stay in the shared folder, as checkpoints do
     named = (nodes.select("key", "n_shingles", "node")
              .join(found, "node", "left").select("key", "n_shingles", F.coalesce("component", "node").alias("c")))
     own = signed.select("doc_id", "key", "n_shingles")

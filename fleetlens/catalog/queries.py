@@ -22,6 +22,8 @@ HOT = 60.0
 PAIR_WINDOW, PAIR_REACH = "1 day", "12 hours"
 VEHICLE = tables.SENSORS_PER_TEST_VEHICLE
 FORCED_SLICE_ROWS = 60
+SOME_SLICE_ROWS = 2_000  # for scans over all sensors together
+LATE_DELAY, LATE_WINDOW = "1 day", "1 day"
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -95,6 +97,23 @@ def vehicle_activity(spark: SparkSession, folder: str) -> DataFrame:
     return ops.vehicle_activity(tables.primary(raw), tables.valve_states(raw), VEHICLE)
 
 
+def _backwards(spark: SparkSession, folder: str) -> DataFrame:
+    raw = tables.events(spark, folder)
+    return tables.arriving_backwards(tables.as_measurements(raw), *tables.span(raw))
+
+
+@query
+def late_records(spark: SparkSession, folder: str) -> DataFrame:
+    marked = ops.mark_late(_backwards(spark, folder), LATE_DELAY, LATE_WINDOW)
+    return marked.where("late").drop("late")
+
+
+@query
+def late_records_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    marked = ops.mark_late(_backwards(spark, folder), LATE_DELAY, LATE_WINDOW, rows_per_slice=SOME_SLICE_ROWS)
+    return marked.where("late").drop("late")
+
+
 # --- rolling ---------------------------------------------------------------------------------------
 
 @query

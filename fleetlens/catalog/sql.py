@@ -269,3 +269,48 @@ FROM r FULL JOIN a USING (vehicle_id)
 """
 SQL["pattern_alerts"] = _valves(_PAIRS, 60, 2, order="ts, seq, state_seq")
 SQL["customer_service"] = _causes(SQL["pattern_alerts"])
+
+
+def turn(turns: int) -> str:
+    """The part of the arrival order that an event is in."""
+    return ("(event_id - (SELECT min(event_id) FROM events)) * %d // "
+            "((SELECT max(event_id) - min(event_id) FROM events) + 1)" % turns)
+
+
+def of_turn(text: str, number: int, turns: int) -> str:
+    """A query over the events of one part only."""
+    return text.replace("FROM events", f"FROM (SELECT * FROM events WHERE {turn(turns)} = {number})")
+
+
+PROCESSING_TIME_WINDOWS = f"""
+WITH clocked AS (
+    SELECT *, TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 7 SECOND * ({{turn}}) AS now FROM events),
+placed AS (
+    SELECT *, make_timestamp(epoch_us(now) // 5000000 * 5000000) - INTERVAL 5 SECOND * k AS window_start
+    FROM clocked, range(2) t(k))
+SELECT user_id AS sensor_id, max(ts) AS ts, {_rounded('avg(value)')} AS mean, window_start,
+       window_start + INTERVAL 10 SECOND AS window_end
+FROM placed GROUP BY user_id, window_start
+"""
+
+
+_BACKWARDS = f"""
+SELECT ts, sensor_id, units, value,
+       low + (block * room + 8) // 9 + ((block + 1) * room + 8) // 9 - 1 - (seq - low) AS seq
+FROM (SELECT *, (seq - low) * 9 // room AS block FROM ({_READING}),
+             (SELECT min(event_id) AS low, max(event_id) - min(event_id) + 1 AS room FROM events))
+"""
+
+
+def late(which: str) -> str:
+    return f"""
+SELECT ts, sensor_id, units, value, seq FROM (
+    SELECT *, coalesce((epoch_us(ts) // {_DAY} + 1) * {_DAY} <= max(epoch_us(ts)) OVER (
+        ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_DAY}, false) AS late
+    FROM ({_BACKWARDS}))
+WHERE {which}
+"""
+
+
+SQL["late_records"] = late("late")
+SQL["late_records_sliced"] = SQL["late_records"]

@@ -6,6 +6,7 @@ append mode the input is then closed (:mod:`fleetlens.streaming.closing`), so th
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -13,13 +14,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens import jobs, operators as ops, streaming
 from fleetlens.catalog import sql
-from fleetlens.catalog.queries import HOT, PAIR_REACH, PAIR_WINDOW, VEHICLE, Query, rounded, finish
+from fleetlens.catalog.queries import (
+    FORCED_SLICE_ROWS, HOT, LATE_DELAY, LATE_WINDOW, PAIR_REACH, PAIR_WINDOW, VEHICLE, Query, rounded, finish,
+)
+from fleetlens.functions import whole
 from fleetlens.plans.session import settings, shared_dir
+from fleetlens.plans.slices import ROWS_PER_SLICE
 from fleetlens.sources import shared_tables as tables, with_event_time, with_processing_time
 
 STREAM_QUERIES: dict[str, Query] = {}
 STREAM_SQL: dict[str, str] = {}
 
+TURNS = 3
+CLOCK_START = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
 StreamQuery = Callable[[SparkSession, str, str, str], DataFrame]
 
 
@@ -235,7 +242,11 @@ def stream_potential_causes_sql(spark: SparkSession, folder: str, path: str, che
 def stream_latest_per_vehicle(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
     latest = ops.latest_per_vehicle(*_reports_and_alerts(spark, folder), VEHICLE)
     streaming.append_latest(latest, path, checkpoint, drain=True)
-    return streaming.read_latest(spark, path).select(
+    return _flat(streaming.read_latest(spark, path))
+
+
+def _flat(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "vehicle_id", F.col("complaint.ts").alias("report_ts"),
         F.col("complaint.customer_name").alias("customer_name"), F.col("complaint.value").alias("report_value"),
         F.col("alert.ts").alias("alert_ts"), F.col("alert.sensor_id").alias("sensor_id"),
@@ -253,3 +264,155 @@ def stream_alert_state(spark: SparkSession, folder: str, path: str, checkpoint:
     return streaming.read_causes_state(spark, path).where("alert IS NOT NULL").select(
         "vehicle_id", "alert.ts", "alert.sensor_id", "alert.units", F.col("alert.value").alias("alert_value"),
         "alert.level")
+
+
+# --- in several turns: each adds files, and the query is started anew where it stopped ---------------
+
+def _in_turns(spark: SparkSession, folder: str, path: str, start: Callable[[DataFrame], object]) -> None:
+    """Feed the events in ``TURNS`` parts of their arrival order and drain the query ``start`` after each."""
+    events, source = tables.events(spark, folder), f"{path}-input"
+    first, room = tables.span(events)
+    turn = whole((F.col("event_id") - first) * TURNS, room)
+    for k in range(TURNS):
+        events.where(turn == k).write.mode("append").parquet(source)
+        start(spark.readStream.schema(events.schema).parquet(source))
+
+
+@stream_query(sql.SQL["running_mean_every_third"])
+def stream_running_mean_every_third(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _in_turns(spark, folder, path, lambda raw: streaming.running_mean_in_batches(
+        tables.as_measurements(raw), path, checkpoint, every=3, drain=True))
+    return streaming.read_running_means(spark, path).withColumns(rounded("mean"))
+
+
+@stream_query(sql.SQL["running_mean_all_sensors"])
+def stream_running_mean_all_sensors(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _in_turns(spark, folder, path, lambda raw: streaming.running_mean_in_batches(
+        tables.as_measurements(raw), path, checkpoint, compat=True, drain=True))
+    return streaming.read_running_means(spark, path).withColumns(rounded("mean"))
+
+
+def _changes(spark: SparkSession, folder: str, path: str, checkpoint: str, rule: str) -> DataFrame:
+    def start(raw: DataFrame) -> None:
+        readings = tables.as_measurements(raw)
+        streaming.changelog_in_batches(readings if rule == "latest" else tables.as_tied(readings), path, checkpoint,
+                                       rule, FORCED_SLICE_ROWS if rule == "max_first" else ROWS_PER_SLICE, drain=True)
+
+    _in_turns(spark, folder, path, start)
+    return streaming.read_changelog(spark, path)
+
+
+@stream_query(sql.SQL["max_changelog_last"])
+def stream_max_changelog_last(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    return _changes(spark, folder, path, checkpoint, "max_last")
+
+
+@stream_query(sql.SQL["max_changelog_first"])
+def stream_max_changelog_first(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """With the sliced plan that large keys get."""
+    return _changes(spark, folder, path, checkpoint, "max_first")
+
+
+@stream_query(sql.SQL["latest_changelog"])
+def stream_latest_changelog(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    return _changes(spark, folder, path, checkpoint, "latest")
+
+
+def _latest_in_turns(spark: SparkSession, folder: str, path: str, checkpoint: str) -> None:
+    def start(raw: DataFrame) -> None:
+        alerts = ops.heat_alerts(tables.as_measurements(raw), threshold=100.0)
+        latest = ops.latest_per_vehicle(tables.as_reports(raw), alerts, VEHICLE)
+        streaming.write_upserts(latest, path, checkpoint, ["vehicle_id"], drain=True)
+
+    _in_turns(spark, folder, path, start)
+
+
+@stream_query(sql.SQL["latest_per_vehicle"])
+def stream_latest_upserted(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """The table that is kept by key."""
+    _latest_in_turns(spark, folder, path, checkpoint)
+    return _flat(streaming.read_upserts(spark, path, ["vehicle_id"]))
+
+
+@stream_query(sql.SQL["latest_per_vehicle"])
+def stream_operator_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """The state that the query itself keeps, read from its checkpoint."""
+    _latest_in_turns(spark, folder, path, checkpoint)
+    return _flat(streaming.read_latest_state(spark, checkpoint))
+
+
+@stream_query(sql.of_turn(sql.SQL["latest_per_vehicle"], 0, TURNS))
+def stream_operator_state_before(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """The same state as it was after the first micro-batch."""
+    _latest_in_turns(spark, folder, path, checkpoint)
+    return _flat(streaming.read_latest_state(spark, checkpoint, batch=0))
+
+
+@stream_query(f"SELECT user_id AS sensor_id, max(ts) AS ts, {sql._rounded('avg(value)')} AS mean FROM events GROUP BY user_id")
+def stream_running_mean_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _in_turns(spark, folder, path, lambda raw: streaming.write_updates(
+        ops.running_mean(tables.as_measurements(raw)), path, checkpoint, drain=True))
+    return streaming.read_running_means_state(spark, checkpoint).withColumns(rounded("mean"))
+
+
+@stream_query(sql.SQL["sliding_mean"])
+def stream_window_totals(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """Every turn adds to windows of all others, however late."""
+    _in_turns(spark, folder, path, lambda raw: streaming.window_totals_in_batches(
+        tables.as_measurements(raw), path, checkpoint, "2 days", "1 day", drain=True))
+    return streaming.read_window_means(spark, path).withColumns(rounded("mean"))
+
+
+@stream_query(sql.PROCESSING_TIME_WINDOWS.format(turn=sql.turn(TURNS)))
+def stream_processing_time_windows(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """Three turns, seven seconds apart on the given clock, in sliding windows of ten seconds."""
+    clock = iter(CLOCK_START + dt.timedelta(seconds=7 * k) for k in range(TURNS))
+    _in_turns(spark, folder, path, lambda raw: streaming.window_totals_in_batches(
+        tables.as_measurements(raw), path, checkpoint, clock=lambda: next(clock), drain=True))
+    return streaming.read_window_means(spark, path).withColumns(rounded("mean"))
+
+
+def _late(spark: SparkSession, folder: str, path: str, checkpoint: str) -> None:
+    span = tables.span(tables.events(spark, folder))
+    _in_turns(spark, folder, path, lambda raw: streaming.split_late_in_batches(
+        tables.arriving_backwards(tables.as_measurements(raw), *span), path, checkpoint, LATE_DELAY, LATE_WINDOW,
+        drain=True))
+
+
+@stream_query(sql.late("late"))
+def stream_late_records(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _late(spark, folder, path, checkpoint)
+    return streaming.read_late(spark, path)
+
+
+@stream_query(sql.late("NOT late"))
+def stream_records_in_time(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _late(spark, folder, path, checkpoint)
+    return streaming.read_on_time(spark, path)
+
+
+def _by_keyed_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> None:
+    def start(raw: DataFrame) -> None:
+        timed = with_event_time(raw)
+        alerts = ops.heat_alerts(tables.as_measurements(timed), threshold=100.0)
+        pairs = streaming.causes_by_keyed_state(
+            tables.as_reports(timed), alerts, "2 days", slot="12 hours", sensors_per_vehicle=VEHICLE)
+        streaming.write_append(pairs, path, checkpoint, drain=True)
+
+    _closed(spark, folder, path, start)
+
+
+@stream_query(sql.SQL["potential_causes"])
+def stream_causes_by_keyed_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    _by_keyed_state(spark, folder, path, checkpoint)
+    return spark.read.parquet(path)
+
+
+@stream_query("""
+SELECT vehicle_id, alert_ts AS ts, sensor_id, units, alert_value, level
+FROM (%s) WHERE alert_ts IS NOT NULL""" % sql.SQL["latest_per_vehicle"])
+def stream_named_state(spark: SparkSession, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """The value state ``alerts`` of the same query, read from its checkpoint."""
+    _by_keyed_state(spark, folder, path, checkpoint)
+    return streaming.read_processor_state(spark, checkpoint, "alerts").select(
+        "vehicle_id", "ts", "sensor_id", "units", F.col("value").alias("alert_value"), "level")

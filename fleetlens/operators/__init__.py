@@ -7,6 +7,7 @@ from fleetlens.operators.enrichment import stolen_vehicles, with_owner, with_sen
 from fleetlens.operators.joins import (
     route_alerts, state_alerts, state_at_reading, tag_alerts, temperature_and_obstruction_alerts,
 )
+from fleetlens.operators.lateness import mark_late
 from fleetlens.operators.patterns import dangerous_valves
 from fleetlens.operators.projections import (
     fahrenheit_and_celsius, heat_alerts, only_sensor, tag_readings, to_fahrenheit, vehicle_activity,
@@ -16,17 +17,18 @@ from fleetlens.operators.tables import (
     POTENTIAL_CAUSES_SQL, potential_causes_sql, publish_alerts, publish_reports,
 )
 from fleetlens.operators.windows import (
-    edit_bytes_per_user, sensor_deviation, sliding_mean, stack_observations, valve_performance,
+    edit_bytes_per_user, means_of_totals, sensor_deviation, sliding_mean, stack_observations, valve_performance,
+    window_totals,
 )
 from fleetlens.operators.words import running_word_count, word_count, word_count_changelog
 
 __all__ = [
     "POTENTIAL_CAUSES_SQL", "dangerous_valves", "edit_bytes_per_user", "fahrenheit_and_celsius",
-    "heat_alerts", "latest_observation", "latest_per_vehicle", "lookup", "max_reading", "only_sensor",
+    "heat_alerts", "latest_observation", "latest_per_vehicle", "lookup", "mark_late", "max_reading", "means_of_totals", "only_sensor",
     "potential_causes", "potential_causes_sql", "publish_alerts", "publish_reports", "reading_changelog",
     "route_alerts", "running_mean", "running_word_count", "sensor_deviation", "sliding_mean",
     "stack_observations", "stack_reports_and_alerts", "state_alerts", "state_at_reading",
     "stolen_vehicles", "tag_alerts", "tag_readings", "temperature_and_obstruction_alerts",
-    "to_fahrenheit", "valve_performance", "vehicle_activity", "with_owner", "with_sensor_reference",
+    "to_fahrenheit", "valve_performance", "vehicle_activity", "window_totals", "with_owner", "with_sensor_reference",
     "word_count", "word_count_changelog",
 ]

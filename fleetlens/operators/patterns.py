@@ -15,8 +15,9 @@ the heat.  So the scan needs nothing but running ``last(..., ignore nulls)`` and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fleetlens.functions import interval_micros, micros
 from fleetlens.plans import Slices, ordered_scan
 from fleetlens.plans.slices import ROWS_PER_SLICE
 from fleetlens.schemas import CLOSE, LEVEL_PATTERN, OBSERVED_STATE, OBSTRUCTED, OPEN, UNITS_NOT_OPENING, expect
@@ -80,7 +81,7 @@ def scan_pattern(
     in_slice = F.when(F.col("_end").isNotNull(), F.struct(
         (F.col("_end.pos") + later).alias("pos"), F.coalesce("_end.heat", "_later_heat").alias("heat")))
     return scanned.select(
-        "sensor_id", "seq", (F.col("_pos") + later).alias("pos"),
+        "sensor_id", "ts", "seq", (F.col("_pos") + later).alias("pos"),
         F.coalesce("_heat", "_later_heat").alias("heat"),
         F.coalesce(in_slice, F.col("_later_end")).alias("end"),
         (F.col("_sets") % 2 == 1).alias("normal"), (~ends_run).alias("closed"),
@@ -90,8 +91,8 @@ def scan_pattern(
 def longest_per_run(found: DataFrame) -> DataFrame:
     """Of the starts that share a run only the earliest, which has the longest match."""
     return (
-        found.groupBy("sensor_id", "run", "heat").agg(F.max(F.struct("times", "seq")).alias("_best"))
-        .select("sensor_id", "run", "heat", "_best.times", "_best.seq")
+        found.groupBy("sensor_id", "run", "heat").agg(F.max(F.struct("times", "seq", "ts")).alias("_best"))
+        .select("sensor_id", "run", "heat", "_best.times", "_best.seq", "_best.ts")
     )
 
 
@@ -110,6 +111,7 @@ def dangerous_valves(
     min_times: int = 5,
     heat_above: float = 500.0,
     after_match: str = "all",
+    ttl: str | None = None,
     slices: Slices | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
@@ -117,17 +119,23 @@ def dangerous_valves(
 
     ``observed`` holds ``ts, sensor_id, value, state, seq``, e.g. the output of ``state_at_reading``.
     ``after_match="all"`` gives one alert per start, ``"first"`` the longest one per run.  ``seq`` of an
-    alert is that of its start row.
+    alert is that of its start row.  With ``ttl`` a start is forgotten that long after its own time: only heat
+    before that counts.
     """
     check_after_match(after_match)
     scanned = scan_pattern(observed, normal, closure, heat_above, slices, rows_per_slice)
     found = scanned.where("normal").select(
-        "sensor_id", "seq", F.col("end.pos").alias("run"), (F.col("pos") - F.col("end.pos") - 1).alias("times"),
+        "sensor_id", "ts", "seq", F.col("end.pos").alias("run"), (F.col("pos") - F.col("end.pos") - 1).alias("times"),
         F.col("end.heat").alias("heat"),
-    ).where((F.col("times") >= min_times) & F.col("heat").isNotNull())
+    ).where((F.col("times") >= min_times) & F.col("heat").isNotNull() & in_time(ttl))
     return as_pattern_alerts(longest_per_run(found) if after_match == "first" else found)
 
 
+def in_time(ttl: str | None) -> Column:
+    """Whether the heat of a start came before the start was forgotten."""
+    return F.lit(True) if ttl is None else micros("heat.ts") < micros("ts") + interval_micros(ttl)
+
+
 def check_after_match(after_match: str) -> None:
     if after_match not in ("all", "first"):
         raise ValueError(f"after_match is 'all' or 'first', not {after_match!r}")

@@ -35,6 +35,21 @@ def sliding_mean(
     )
 
 
+def window_totals(measurements: DataFrame, size: str = "10 seconds", slide: str = "5 seconds", time: str = "ts") -> DataFrame:
+    """The parts of :func:`sliding_mean` that can be added up: sum, number of values and latest event time."""
+    expect(measurements, MEASUREMENT, "ts", "sensor_id", "value")
+    return measurements.groupBy("sensor_id", F.window(time, size, slide).alias("window")).agg(
+        F.max("ts").alias("ts"), F.sum("value").alias("total"), F.count("value").alias("n")).select(
+        "sensor_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "ts",
+        "total", "n")
+
+
+def means_of_totals(totals: DataFrame) -> DataFrame:
+    """The rows of :func:`sliding_mean` from added-up totals."""
+    return totals.select("sensor_id", "ts", F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("mean"),
+                         "window_start", "window_end")
+
+
 def sensor_deviation(
     tagged: DataFrame, size: str = "10 seconds", tolerance: float = 20.0, compat: bool = False
 ) -> DataFrame:

@@ -107,6 +107,20 @@ def as_tied(measurements: DataFrame) -> DataFrame:
     return measurements.withColumn("value", F.floor(F.col("value") / 50).cast("double"))
 
 
+def span(raw: DataFrame) -> tuple[int, int]:
+    """The first event number and how many there are room for; (0, 1) without events."""
+    first, last = raw.agg(F.min("event_id"), F.max("event_id")).first()
+    return (0, 1) if first is None else (first, last - first + 1)
+
+
+def arriving_backwards(measurements: DataFrame, first: int, room: int, blocks: int = 9) -> DataFrame:
+    """The same readings, each of ``blocks`` parts of the stream arriving last record first, so that some are late."""
+    place = F.col("seq") - first
+    block = whole(place * blocks, room)
+    start, after = (whole((block + k) * room + (blocks - 1), blocks) for k in range(2))
+    return measurements.withColumn("seq", first + start + after - 1 - place)
+
+
 def owners(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("vehicle_id"), F.col("c_name").alias("owner_name"),

@@ -6,7 +6,10 @@ tables: everything stays distributed and readable with ``spark.read``.  Order is
 
 Under ``path`` every micro-batch ``n`` writes its partition ``batch_id=n`` of the result and of the state
 tables, and reads only the state written by ``n - 1`` and before, so a replay after a failure overwrites
-its own output and nothing else.
+its own output and nothing else.  Partitions that no replay can need any more are removed.
+
+``ttl`` bounds what is kept of sensors and vehicles that nothing more is heard of: an entry is forgotten that long
+(event time) after its own time.
 """
 
 from __future__ import annotations
@@ -17,10 +20,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 from fleetlens.functions import interval_micros, micros
 from fleetlens.operators.causes import KNOWN, last_seen, match_stacked, stack_reports_and_alerts
 from fleetlens.operators.patterns import (
-    CLOSURE, NORMAL, as_pattern_alerts, check_after_match, longest_per_run, pattern_order, scan_pattern,
+    CLOSURE, NORMAL, as_pattern_alerts, check_after_match, in_time, longest_per_run, pattern_order, scan_pattern,
 )
 from fleetlens.plans.slices import ROWS_PER_SLICE
 from fleetlens.schemas import SENSORS_PER_VEHICLE, WATERMARK_DELAY
+from fleetlens.streaming import files
 from fleetlens.streaming.sinks import _each_batch, _write_batch
 
 FULL_EVERY = 50
@@ -40,16 +44,20 @@ def read_causes_state(spark: SparkSession, path: str, before: int | None = None)
     """Last complaint and alert per vehicle (before micro-batch ``before``; by default: now)."""
     table = f"{path}/state"
     if before is None:
-        newest = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
-        if newest is None:  # no vehicle was seen yet
-            return spark.read.parquet(table).drop("batch_id")
-        before = newest + 1
+        before = 1 + max(int(name.removeprefix("batch_id=")) for name in files.names(spark, table)
+                         if name.startswith("batch_id="))
     full = (before - 1) // FULL_EVERY * FULL_EVERY
     newest = F.max_by(F.struct("report", "alert"), "batch_id").alias("_s")
     return _written(spark, table, full, before - 1).groupBy("vehicle_id").agg(newest).select(
         "vehicle_id", "_s.report", "_s.alert")
 
 
+def _forget(spark: SparkSession, path: str, first: int, last: int) -> None:
+    """Remove the partitions of micro-batches ``first`` to ``last``."""
+    for n in range(max(first, 0), last + 1):
+        files.remove(spark, f"{path}/batch_id={n}")
+
+
 def match_causes_in_batches(
     reports: DataFrame,
     alerts: DataFrame,
@@ -58,39 +66,58 @@ def match_causes_in_batches(
     within: str = "2 hours",
     sensors_per_vehicle: int = SENSORS_PER_VEHICLE,
     rows_per_slice: int = ROWS_PER_SLICE,
+    ttl: str | None = None,
+    delay: str = WATERMARK_DELAY,
     drain: bool = False,
 ) -> StreamingQuery:
     """``potential_causes`` of two streams: exact ``(ts, report before alert, seq)`` order inside each
     micro-batch, arrival order across them.
 
     The state table gets the vehicles a micro-batch touched, and all of them every ``FULL_EVERY`` batches.
+    With ``ttl`` pairs must also lie closer than that, and a complaint or alert leaves the state once an event
+    ``ttl`` and ``delay`` past it was seen.
     """
     stacked = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle)
 
     def act(batch: DataFrame, n: int) -> None:
         batch.persist()
         try:
-            _match_step(batch, n, path, within, rows_per_slice)
+            newest = None if ttl is None else batch.agg(F.max(micros("ts"))).first()[0]
+            now = None if newest is None else newest - interval_micros(delay)
+            _match_step(batch, n, path, within, rows_per_slice, ttl, now)
         finally:
             batch.unpersist()
 
     return _each_batch(stacked, "append", act, checkpoint, drain)
 
 
-def _match_step(batch: DataFrame, n: int, path: str, within: str, rows_per_slice: int) -> None:
-    """Match the stacked rows of one micro-batch and write its pairs and state."""
+def _match_step(
+    batch: DataFrame, n: int, path: str, within: str, rows_per_slice: int, ttl: str | None = None,
+    now: int | None = None,
+) -> None:
+    """Match the stacked rows of one micro-batch and write its pairs and state; later rows are after ``now``."""
+    spark = batch.sparkSession
+    if ttl is not None:
+        within = min(within, ttl, key=interval_micros)
     touched = batch.groupBy("vehicle_id").agg(last_seen("report").alias("report"), last_seen("alert").alias("alert"))
     if n == 0:
         rows, state = batch, touched
     else:
-        before = read_causes_state(batch.sparkSession, path, n)
+        before = read_causes_state(spark, path, n)
         rows = batch.unionByName(_as_known(before.join(touched, "vehicle_id", "left_semi")))
         kept = before.select("vehicle_id", F.col("report").alias("_r"), F.col("alert").alias("_a"))
         how = "full" if n % FULL_EVERY == 0 else "left"
         state = touched.join(kept, "vehicle_id", how).select(
             "vehicle_id", F.coalesce("report", "_r").alias("report"), F.coalesce("alert", "_a").alias("alert"))
+    if ttl is not None and now is not None:
+        oldest = now - interval_micros(ttl)
+        state = state.withColumns({c: F.when(micros(f"{c}.ts") > oldest, F.col(c)) for c in ("report", "alert")})
+    if n % FULL_EVERY == 0:
+        state = state.where("report IS NOT NULL OR alert IS NOT NULL")
     _write_batch(match_stacked(rows, within, rows_per_slice=rows_per_slice), f"{path}/pairs", n)
     _write_batch(state, f"{path}/state", n)
+    if n % FULL_EVERY == 1 % FULL_EVERY and n > FULL_EVERY:  # the full state before this one is committed
+        _forget(spark, f"{path}/state", n - 1 - FULL_EVERY, n - 2)
 
 
 def _as_known(state: DataFrame) -> DataFrame:
@@ -115,6 +142,7 @@ def match_patterns_in_batches(
     heat_above: float = 500.0,
     after_match: str = "all",
     rows_per_slice: int = ROWS_PER_SLICE,
+    ttl: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """``dangerous_valves`` of a stream in event-time order.
@@ -130,7 +158,7 @@ def match_patterns_in_batches(
         rows, now = _passed_rows(batch.select(*columns), n, path, delay)
         try:
             ready = rows.where(_upto(now))
-            _pattern_step(ready, n, path, normal, closure, min_times, heat_above, after_match, rows_per_slice)
+            _pattern_step(ready, n, path, normal, closure, min_times, heat_above, after_match, rows_per_slice, ttl, now)
         finally:
             rows.unpersist()
 
@@ -160,12 +188,14 @@ def _passed_rows(rows: DataFrame, n: int, path: str, delay: str) -> tuple[DataFr
     now = max(seen) if seen else None
     _write_batch(rows.where(~_upto(now)), f"{path}/held", n)
     _write_batch(spark.createDataFrame([(now,)], "passed_us long"), f"{path}/clock", n)
+    for table in ("held", "clock"):
+        _forget(spark, f"{path}/{table}", n - 2, n - 2)
     return rows, now
 
 
 def _pattern_step(
     ready: DataFrame, n: int, path: str, normal: tuple[str, ...], closure: tuple[str, ...], min_times: int,
-    heat_above: float, after_match: str, rows_per_slice: int,
+    heat_above: float, after_match: str, rows_per_slice: int, ttl: str | None, now: int | None,
 ) -> DataFrame:
     """Advance the pattern by one micro-batch's rows, write its alerts and waiting starts, give the alerts."""
     spark = ready.sparkSession
@@ -176,15 +206,21 @@ def _pattern_step(
         starts = starts.unionByName(_advance(pending, firsts, n))
     starts = starts.where((F.col("times") >= min_times) | ~F.col("ended")).persist()
     try:
-        done = starts.where("ended AND heat IS NOT NULL")
+        done = starts.where("ended AND heat IS NOT NULL").where(in_time(ttl))
         waiting = starts.where("NOT ended OR heat IS NULL")
-        if after_match == "first":
+        if ttl is not None:
+            if now is not None:  # heat to come is after it
+                waiting = waiting.where(micros("ts") + interval_micros(ttl) > now)
+            # which start of a run is still known when heat comes decides then
+            done = longest_per_run(done) if after_match == "first" else done
+        elif after_match == "first":
             # starts whose run ended just now and that share it; older ones were reduced then
             done = longest_per_run(done)
             open_runs, ended = waiting.where(~F.col("ended")), waiting.where("ended")
             waiting = open_runs.unionByName(longest_per_run(ended).withColumn("ended", F.lit(True)))
         _write_batch(as_pattern_alerts(done), f"{path}/alerts", n)
         _write_batch(waiting, f"{path}/pending", n)
+        _forget(spark, f"{path}/pending", n - 2, n - 2)
     finally:
         starts.unpersist()
     return _written(spark, f"{path}/alerts", n, n).drop("batch_id")
@@ -204,6 +240,7 @@ def match_complaints_with_patterns(
     heat_above: float = 500.0,
     after_match: str = "all",
     rows_per_slice: int = ROWS_PER_SLICE,
+    ttl: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """The customer-service chain as one query: patterns in ``observed`` are matched with ``reports``.
@@ -224,10 +261,10 @@ def match_complaints_with_patterns(
         try:
             ready = rows.where(_upto(now))
             alerts = _pattern_step(ready.where("is_observed").select(*columns), n, path, normal, closure, min_times,
-                                   heat_above, after_match, rows_per_slice)
+                                   heat_above, after_match, rows_per_slice, ttl, now)
             complaints = ready.where("NOT is_observed").select("ts", *told, F.col("report_value").alias("value"))
             stacked = stack_reports_and_alerts(complaints, alerts, sensors_per_vehicle).persist()
-            _match_step(stacked, n, path, within, rows_per_slice)
+            _match_step(stacked, n, path, within, rows_per_slice, ttl, now)
             stacked.unpersist()
         finally:
             rows.unpersist()
@@ -246,7 +283,7 @@ def _starts_and_firsts(scanned: DataFrame, n: int) -> tuple[DataFrame, DataFrame
     """
     ended = F.col("end").isNotNull()
     starts = scanned.where("normal").select(
-        "sensor_id", "seq",
+        "sensor_id", "ts", "seq",
         F.when(ended, _run(n, "end.pos")).alias("run"),
         (F.col("pos") - F.coalesce("end.pos", F.lit(0)) - 1).alias("times"),
         F.col("end.heat").alias("heat"), ended.alias("ended"),
@@ -262,7 +299,7 @@ def _advance(pending: DataFrame, firsts: DataFrame, n: int) -> DataFrame:
     grown = F.when(F.col("ended") | met.isNull(), F.lit(0)).otherwise(
         F.col("first.pos") - F.coalesce("first.end.pos", F.lit(0)))
     return pending.join(firsts, "sensor_id", "left").select(
-        "sensor_id", "seq",
+        "sensor_id", "ts", "seq",
         F.when(ends_now, _run(n, "first.end.pos")).otherwise(F.col("run")).alias("run"),
         (F.col("times") + grown).alias("times"),
         F.when(F.col("ended"), F.col("first.heat")).when(ends_now, F.col("first.end.heat")).alias("heat"),

@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from fleetlens.llm.components import components
-from fleetlens.llm.tables import chunks, map_chunks, settle, shared_dir
+from fleetlens.llm.tables import chunks, map_chunks, release, settle, shared_dir
 from fleetlens.llm.words import mix, run_hashes, words_of
+from fleetlens.streaming.files import remove
 
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 #: Hashes of a label: those of its tree and of the next one, which tell nodes of a crowded region apart.
@@ -46,7 +47,7 @@ ROUNDS = 2
 #: Star rounds for the components between those; what stays apart is compared without need, no more.
 STARS = 2
 #: Nodes of a block's side; pairs of one node that a block confirms in one step.
-BLOCK, PAIRS = 512, 256
+BLOCK, PAIRS = 1024, 256
 #: Signatures of linked sets agree in a share of places that is less than the similarity by at most this much.
 SLACK = 0.15
 SIGNED = "doc_id long, n_shingles long, key long, signature binary"
@@ -329,6 +330,7 @@ def _crowded(nodes: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     shape = shape.withColumnsRenamed({"s": "top_s", "c": "top_c"})
     rows = rows.join(shape, "region").withColumn("asks", (F.col("s") != F.col("top_s")) | (F.col("c") != F.col("top_c")))
     rows = settle(rows.drop("top_s", "top_c").join(_brief(nodes), "node"))
+    release(nodes.sparkSession)
     left = rows.where("asks").withColumns({
         "i": F.pmod(F.xxhash64("node"), F.col("down")).cast("int"), "j": F.explode(F.expr("sequence(0, over - 1)"))})
     right = rows.withColumns({
@@ -374,6 +376,7 @@ def _crowd_links(nodes: DataFrame, found: DataFrame, texts: DataFrame, percent:
         return pa.table([pa.array(ends.min(1)), pa.array(ends.max(1))], names=["a", "b"])
 
     members = settle(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(may_link, kind))
+    release(nodes.sparkSession)
     told = members.join(texts, "node")
     sides = [told.where(side).select(*_MEMBER, "text") for side in ("asks", "not asks")]
     right = sides[1].select(*[F.col(name).alias(name) for name in sides[1].columns])
@@ -388,6 +391,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     pairs = settle(candidates(nodes))
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     name, texts = _by_document(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(ends, "node", "left_semi"))
+    release(docs.sparkSession)
     links = found = None
     for last in (*[False] * ROUNDS, True):
         live = settle(_between(pairs, found))
@@ -398,10 +402,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         found = components(links, None if last else STARS)
         if not last:  # what was compared and has no link is not compared again
             pairs = live.join(chosen, ["a", "b"], "left_anti").select("a", "b", "strength")
+        release(docs.sparkSession)
     crowd = settle(_crowd_links(nodes, found, texts, percent, shingle))
     if not crowd.isEmpty():
         found = components(links.unionByName(crowd))
-    docs.sparkSession.sql(f"DROP TABLE {name}")  # its files stay in the shared folder, as checkpoints do
+    docs.sparkSession.sql(f"DROP TABLE {name}")
+    remove(docs.sparkSession, f"{shared_dir(docs.sparkSession)}/{name}")  # all that was read from it is checkpointed
     named = (nodes.select("key", "n_shingles", "node")
              .join(found, "node", "left").select("key", "n_shingles", F.coalesce("component", "node").alias("c")))
     own = signed.select("doc_id", "key", "n_shingles")

@@ -6,6 +6,7 @@ of text bytes at a time.  :func:`ship` gives this package to the Python workers.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -21,7 +22,7 @@ from fleetlens.plans.session import settle, shared_dir
 #: Text bytes that a helper holds at once, unless one row alone is longer.
 CHUNK_BYTES = 4 << 20
 
-__all__ = ["CHUNK_BYTES", "chunks", "map_chunks", "read_table", "settle", "shared_dir", "ship", "string_bytes"]
+__all__ = ["CHUNK_BYTES", "chunks", "map_chunks", "read_table", "release", "settle", "shared_dir", "ship", "string_bytes"]
 
 
 _shipped: set[str] = set()
@@ -42,6 +43,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of results that nothing refers to any more.
+
+    Its cleaner waits for a garbage collection on the driver, which a job of many small steps may not see for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,8 @@ HEADLINE = [
     "potential_causes", "potential_causes_sql",
     "latest_per_vehicle", "edit_bytes_per_user", "customer_service",
     "stream_sliding_mean", "stream_state_at_reading", "stream_dangerous_valves", "stream_potential_causes",
-    "stream_customer_service",
+    "stream_customer_service", "late_records", "dangerous_valves_compat", "stream_running_mean_every_third",
+    "stream_max_changelog_last", "stream_operator_state", "stream_causes_by_keyed_state",
 ]
 
 

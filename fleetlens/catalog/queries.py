@@ -19,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HOT = 60.0
+PATTERN_TTL = "4 days"
 PAIR_WINDOW, PAIR_REACH = "1 day", "12 hours"
 VEHICLE = tables.SENSORS_PER_TEST_VEHICLE
 FORCED_SLICE_ROWS = 60
@@ -293,6 +294,21 @@ def dangerous_valves_sliced(spark: SparkSession, folder: str) -> DataFrame:
     return ops.dangerous_valves(_observed(spark, folder), heat_above=HOT, rows_per_slice=FORCED_SLICE_ROWS)
 
 
+@query
+def dangerous_valves_compat(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.dangerous_valves(_observed(spark, folder), heat_above=HOT, compat=True)
+
+
+@query
+def dangerous_valves_compat_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.dangerous_valves(_observed(spark, folder), heat_above=HOT, compat=True, rows_per_slice=FORCED_SLICE_ROWS)
+
+
+@query
+def dangerous_valves_ttl(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.dangerous_valves(_observed(spark, folder), heat_above=HOT, ttl=PATTERN_TTL)
+
+
 @query
 def dangerous_valves_longest(spark: SparkSession, folder: str) -> DataFrame:
     return ops.dangerous_valves(_observed(spark, folder), heat_above=HOT, after_match="first")

@@ -193,7 +193,7 @@ FROM ({_READING}) r LEFT JOIN supplier s ON s.s_suppkey = r.sensor_id
 """
 
 
-def _valves(observed: str, hot: float, times: int, longest: bool = False, order: str = "ts, seq") -> str:
+def _valves(observed: str, hot: float, times: int, longest: bool = False, order: str = "ts, seq", ttl: str = "") -> str:
     """Gaps and islands: number the runs by the rows outside the closure states."""
     pick = """
     QUALIFY row_number() OVER (PARTITION BY sensor_id, run_end ORDER BY times DESC) = 1""" if longest else ""
@@ -212,18 +212,43 @@ heats AS (
         PARTITION BY sensor_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heat_pos
     FROM placed),
 starts AS (
-    SELECT sensor_id, seq, run_end, run_end - pos - 1 AS times
+    SELECT sensor_id, ts, seq, run_end, run_end - pos - 1 AS times
     FROM ends WHERE state IN ('OPEN', 'CLOSE') AND run_end - pos - 1 >= {times}{pick})
 SELECT h.ts, s.sensor_id, 'MALFUNCTIONING NOT OPENING TIMES ' || s.times AS units, h.value, 5 AS level, s.seq
 FROM starts s
 JOIN heats t ON t.sensor_id = s.sensor_id AND t.pos = s.run_end
-JOIN placed h ON h.sensor_id = s.sensor_id AND h.pos = t.heat_pos
+JOIN placed h ON h.sensor_id = s.sensor_id AND h.pos = t.heat_pos {ttl}
+"""
+
+
+def _loose_valves(observed: str, hot: float, times: int) -> str:
+    """Number the closures of a sensor: the one a start needs has the start's number and ``times`` more."""
+    over = "OVER (PARTITION BY sensor_id ORDER BY ts, seq"
+    return f"""
+WITH observed AS ({observed}),
+placed AS (
+    SELECT *, row_number() {over}) AS pos, state IN ('CLOSE', 'OBSTRUCTED') AS closed,
+           count(*) FILTER (state IN ('CLOSE', 'OBSTRUCTED')) {over} ROWS UNBOUNDED PRECEDING) AS n,
+           lead(state) {over}) IN ('CLOSE', 'OBSTRUCTED') AS led
+    FROM observed),
+heats AS (
+    SELECT *, min(CASE WHEN value > {hot} AND NOT closed THEN pos END) OVER (
+        PARTITION BY sensor_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS heat_pos
+    FROM placed)
+SELECT h.ts, s.sensor_id, 'MALFUNCTIONING NOT OPENING TIMES ' || (h.n - s.n) AS units, h.value, 5 AS level, s.seq
+FROM placed s
+JOIN heats k ON k.sensor_id = s.sensor_id AND k.closed AND k.n = s.n + {times}
+JOIN placed h ON h.sensor_id = s.sensor_id AND h.pos = k.heat_pos
+WHERE s.state IN ('OPEN', 'CLOSE') AND s.led
 """
 
 
 _OBSERVED = f"SELECT ts, user_id AS sensor_id, value, {_STATE} AS state, event_id AS seq FROM events"
 SQL["dangerous_valves"] = _valves(_OBSERVED, 60, 5)
 SQL["dangerous_valves_sliced"] = SQL["dangerous_valves"]
+SQL["dangerous_valves_ttl"] = _valves(_OBSERVED, 60, 5, ttl="WHERE h.ts < s.ts + INTERVAL 4 DAY")
+SQL["dangerous_valves_compat"] = _loose_valves(_OBSERVED, 60, 5)
+SQL["dangerous_valves_compat_sliced"] = SQL["dangerous_valves_compat"]
 SQL["dangerous_valves_longest"] = _valves(_OBSERVED, 60, 5, longest=True)
 
 _ALERTS = f"SELECT ts, sensor_id, units, value, 2 AS level, seq FROM ({_READING}) WHERE value > 100"

@@ -58,15 +58,16 @@ def _timed(spark: SparkSession, folder: str) -> DataFrame:
     return with_event_time(_events(spark, folder))
 
 
-def _closed(spark: SparkSession, folder: str, path: str, start: Callable[[DataFrame], object]) -> None:
+def _closed(spark: SparkSession, folder: str, path: str, start: Callable[[DataFrame], object],
+            event_type: str = "view", value: float = 0.0) -> None:
     """Drain the events with ``start``, then close them; the closing records are of user -1."""
     events, closing = tables.events(spark, folder), f"{path}-closing"
     streaming.open_closing(spark, events.schema, closing)
     start(streaming.with_closing(_events(spark, folder), closing))
     last = events.agg(F.max("ts")).first()[0]
     for number in (-1, -2):  # one that passes for a primary reading, one for a secondary one
-        streaming.write_closing(spark, events.schema, closing, last, event_id=number, user_id=-1, event_type="view",
-                                value=0.0, props="")
+        streaming.write_closing(spark, events.schema, closing, last, event_id=number, user_id=-1,
+                                event_type=event_type, value=value, props="")
     start(streaming.with_closing(_events(spark, folder), closing))
 
 
@@ -399,7 +400,7 @@ def _by_keyed_state(spark: SparkSession, folder: str, path: str, checkpoint: str
             tables.as_reports(timed), alerts, "2 days", slot="12 hours", sensors_per_vehicle=VEHICLE)
         streaming.write_append(pairs, path, checkpoint, drain=True)
 
-    _closed(spark, folder, path, start)
+    _closed(spark, folder, path, start, event_type="error", value=1e6)  # a complaint and an alert, which stay in wait
 
 
 @stream_query(sql.SQL["potential_causes"])

@@ -88,6 +88,70 @@ def scan_pattern(
     )
 
 
+def scan_relaxed(
+    observed: DataFrame, normal: tuple[str, ...] = NORMAL, closure: tuple[str, ...] = CLOSURE, heat_above: float = 500.0,
+    slices: Slices | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """For every row: ``closures`` from it to the end, whether the very next row is one (``led``), and the ``heat``
+    after it (time, value, closures from there on): the nearest later hot row outside ``closure``."""
+    order = pattern_order(observed)
+    rows = observed.select(
+        "sensor_id", *order, F.col("state").isin(*normal).alias("normal"),
+        F.col("state").isin(*closure).cast("long").alias("_closed"),
+        ((F.col("value") > heat_above) & ~F.isnan("value") & ~F.col("state").isin(*closure)).alias("_hot"), "value",
+    )
+    here = F.when(F.col("_hot"), F.struct("ts", "value", F.col("_count").alias("closures")))
+    heat = "struct<ts:timestamp,value:double,closures:long>"
+    scanned = ordered_scan(
+        rows, ["sensor_id"], order, backwards=True,
+        local=lambda w: [
+            {"_count": F.sum("_closed").over(w.rowsBetween(*_UPTO)), "_next": F.lag("_closed").over(w)},
+            {"_heat": F.last(here, ignorenulls=True).over(w.rowsBetween(*_BEFORE))},
+        ],
+        totals={
+            "_closures": F.sum("_closed"),
+            "_first_closed": F.min_by("_closed", F.struct(*order)),
+            "_first_heat": F.min_by(here, F.when(F.col("_hot"), F.struct(*order))),
+        },
+        inherit=lambda w: [
+            {"_later": F.sum("_closures").over(w.rowsBetween(*_BEFORE)),
+             "_later_next": F.last("_first_closed").over(w.rowsBetween(*_BEFORE))},
+            {"_slice_heat": _moved("_first_heat")},
+            {"_later_heat": F.last("_slice_heat", ignorenulls=True).over(w.rowsBetween(*_BEFORE))},
+        ],
+        inherited=f"_later long, _later_next long, _later_heat {heat}",
+        slices=slices, rows_per_slice=rows_per_slice,
+    )
+    return scanned.select(
+        "sensor_id", "ts", "seq", "normal", (F.col("_closed") == 1).alias("closed"),
+        (F.col("_count") + F.coalesce("_later", F.lit(0))).alias("closures"),
+        (F.coalesce("_next", "_later_next") == 1).alias("led"),
+        F.coalesce(_moved("_heat"), F.col("_later_heat")).alias("heat"),
+    )
+
+
+def _moved(heat: str) -> Column:
+    """A heat with the closures of later slices counted in."""
+    return F.when(F.col(heat).isNotNull(), F.struct(
+        F.col(f"{heat}.ts").alias("ts"), F.col(f"{heat}.value").alias("value"),
+        (F.col(f"{heat}.closures") + F.coalesce("_later", F.lit(0))).alias("closures")))
+
+
+def relaxed_matches(scanned: DataFrame, min_times: int) -> DataFrame:
+    """Starts of :func:`scan_relaxed` with the ``min_times``-th closure after them, and the heat after that.
+
+    Counted from the end, closures of a sensor have numbers of their own, so the one a start needs is found by an
+    equality join that no sensor can make uneven.
+    """
+    key = F.struct("sensor_id").alias("_key")  # a struct is never NULL
+    after = F.col("closures") - F.col("closed").cast("long")
+    starts = scanned.where("normal AND led").select(
+        key, "sensor_id", "ts", "seq", after.alias("after"), (after - min_times + 1).alias("_needed")).where("_needed > 0")
+    ends = scanned.where("closed AND heat IS NOT NULL").select(key, F.col("closures").alias("_needed"), "heat")
+    return starts.join(ends, ["_key", "_needed"]).select(
+        "sensor_id", "ts", "seq", (F.col("after") - F.col("heat.closures")).alias("times"), "heat")
+
+
 def longest_per_run(found: DataFrame) -> DataFrame:
     """Of the starts that share a run only the earliest, which has the longest match."""
     return (
@@ -112,6 +176,7 @@ def dangerous_valves(
     heat_above: float = 500.0,
     after_match: str = "all",
     ttl: str | None = None,
+    compat: bool = False,
     slices: Slices | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
@@ -121,8 +186,17 @@ def dangerous_valves(
     ``after_match="all"`` gives one alert per start, ``"first"`` the longest one per run.  ``seq`` of an
     alert is that of its start row.  With ``ttl`` a start is forgotten that long after its own time: only heat
     before that counts.
+
+    ``compat=True`` takes the repetition as loosely as the original exercise literally writes it: the row right after
+    the start is a closure, further ones may have other rows between them, as many as there are before the heat, which
+    is the first hot row outside ``closure`` behind the ``min_times``-th of them.  Every start gives its alert.
     """
     check_after_match(after_match)
+    if compat:
+        if after_match != "all":
+            raise ValueError("compat gives all matches")
+        loose = relaxed_matches(scan_relaxed(observed, normal, closure, heat_above, slices, rows_per_slice), min_times)
+        return as_pattern_alerts(loose.where(in_time(ttl)))
     scanned = scan_pattern(observed, normal, closure, heat_above, slices, rows_per_slice)
     found = scanned.where("normal").select(
         "sensor_id", "ts", "seq", F.col("end.pos").alias("run"), (F.col("pos") - F.col("end.pos") - 1).alias("times"),

@@ -103,9 +103,10 @@ def causes_by_keyed_state(
 ) -> DataFrame:
     """``potential_causes`` of two streams, in event-time order; append mode.
 
-    Both streams come with their watermark (``with_event_time``), best set before any filter: time goes on with
-    the slower one, also by records that are no complaint or alert.  A row at or behind it on arrival is dropped,
-    as by every stateful operator; before the first event the watermark is the start of 1970.
+    Both streams come with their watermark (``with_event_time``), and time goes on with the slower one.  Spark
+    applies filters before watermarks where it can, so only complaints and alerts move it on, not other records.
+    A row at or behind the watermark on arrival is dropped, as by every stateful operator; before the first event
+    it is the start of 1970.
     """
     flat = stack_reports_and_alerts(reports, alerts, sensors_per_vehicle).select(
         "vehicle_id", "ts", micros("ts").alias("us"), F.col("seq").alias("place"), "tie", "kind",

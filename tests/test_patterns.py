@@ -99,3 +99,41 @@ def test_any_slicing_matches_the_definition(tables, rows_per_slice, busy, after_
 def test_hypothesis_slices_of_four(tables, drawn):
     rows = [(*r, i) for i, r in enumerate(drawn)]
     assert _run(tables, rows, min_times=2, rows_per_slice=4) == brute_force(rows, 2)
+
+
+def loose_brute_force(rows, min_times, heat=500.0):
+    """The loose repetition by walking on from every start."""
+    out = []
+    for sensor in {r[1] for r in rows}:
+        mine = sorted((r for r in rows if r[1] == sensor), key=lambda r: (r[0], r[4]))
+        for i, row in enumerate(mine):
+            if row[3] not in NORMAL or i + 1 == len(mine) or mine[i + 1][3] not in CLOSURE:
+                continue
+            times = 0
+            for later in mine[i + 1:]:
+                if later[3] in CLOSURE:
+                    times += 1
+                elif later[2] > heat and times >= min_times:
+                    out.append((later[0], sensor, f"MALFUNCTIONING NOT OPENING TIMES {times}", later[2], 5, row[4]))
+                    break
+    return sorted(out)
+
+
+@pytest.mark.parametrize("rows_per_slice", [4_000_000, 5, 17])
+def test_loose_repetition_equals_a_walk(tables, rows_per_slice):
+    rng = random.Random(rows_per_slice)
+    rows = [(rng.randrange(400), rng.choice([1, 1, 1, 2]), rng.choice([20.0, 30.0, 600.0, float("nan")]),
+             rng.choice(["OPEN", "CLOSE", "OBSTRUCTED"]), i) for i in range(220)]
+    for min_times in (1, 3, 6):
+        assert _run(tables, rows, min_times=min_times, compat=True, rows_per_slice=rows_per_slice) == loose_brute_force(
+            rows, min_times) != []
+
+
+def test_loose_repetition_by_hand(tables):
+    states = ["OPEN", "OBSTRUCTED", "OPEN", "OBSTRUCTED", "OPEN", "CLOSE", "OPEN"]
+    rows = _sequence(states, values={2: 600.0, 6: 700.0})
+    # from row 0: closures 1, 3, 5, then the heat of row 6; row 2 is hot too early; rows 2 and 4 have fewer closures
+    assert _run(tables, rows, min_times=3, compat=True) == [(60, 1, "MALFUNCTIONING NOT OPENING TIMES 3", 700.0, 5, 0)]
+    assert _run(tables, rows, min_times=3) == []
+    with pytest.raises(ValueError):
+        ops.dangerous_valves(tables.observed(*rows), compat=True, after_match="first")

@@ -337,6 +337,50 @@ def test_chain_as_one_stream_equals_the_tables(spark, feed, tmp_path):
     assert rows_of(streaming.read_causes(spark, path)) == expected != []
 
 
+@pytest.mark.parametrize("whole_chain", [True, False])
+def test_chain_from_readings_keeps_no_rows_in_a_join_of_streams(spark, feed, tmp_path, whole_chain):
+    """Readings are joined with states as tables, also across micro-batches and a restart."""
+    from fleetlens import jobs
+
+    rng, seq = random.Random(4), 0
+    readings, states = feed("readings", schemas.MEASUREMENT), feed("states", schemas.VALVE_STATE)
+    reports = feed("reports", schemas.CUSTOMER_REPORT)
+    path, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    sizes, pattern = {"size": "20 seconds", "within": "6 seconds"}, {"min_times": 2, "heat_above": 50.0}
+
+    def drain():
+        if whole_chain:
+            return jobs.customer_service_stream(
+                reports.stream(), readings.stream(), states.stream(), path, checkpoint, True, pairs=sizes,
+                pattern=pattern)
+        return jobs.pattern_alerts_stream(
+            readings.stream(), states.stream(), path, checkpoint, True, sizes, pattern)
+
+    for n in range(3):
+        measured, seen, told = [], [], []
+        for k in range(120):
+            seq += 1
+            ms, sensor = 30_000 * n + 250 * k + rng.randrange(0, 3_000, 250), rng.choice([1, 1, 2])
+            measured.append(reading(ms, sensor, rng.choice([10, 20, 70]), seq))
+            seen.append((ms - rng.randrange(600), sensor, rng.choice(["OPEN", "CLOSE", "OBSTRUCTED"]), seq))
+            told.append(_report(ms + 100, 0, rng.choice(["BROKEN_DOWN", "SATISFIED"]), seq))
+        readings.add(*measured), states.add(*seen), reports.add(*told)
+        if n != 1:
+            drain()
+    tables = readings.table(), states.table()
+    if whole_chain:
+        expected = rows_of(jobs.customer_service(reports.table(), *tables, pairs=sizes, pattern=pattern))
+    else:
+        expected = rows_of(jobs.pattern_alerts(*tables, sizes, pattern))
+    readings.add(reading(10_000_000, 99_999, 0.0, 10_000))
+    query = drain()
+    found = streaming.read_causes(spark, path) if whole_chain else streaming.read_pattern_alerts(spark, path)
+    assert rows_of(found) == expected != []
+    assert list(query.lastProgress.stateOperators) == []
+    kept = streaming.files.names(spark, f"{path}/states")
+    assert len([name for name in kept if name.startswith("batch_id=")]) <= 2
+
+
 def test_latest_table_is_kept_and_compacted(spark, feed, tmp_path):
     reports = feed("reports", schemas.CUSTOMER_REPORT).add(_report(5_000, 1, "BROKEN_DOWN", 0))
     reports.add(_report(6_000, 1, "DISSATISFIED", 1), _report(1, 2, "BROKEN_DOWN", 2))
